@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import line_dedup
+from sievework.llm import line_dedup, near_dedup
 from sievework.llm.common import table
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -29,5 +33,8 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE gone))::BIGI
 FROM d GROUP BY doc_id
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op5_line_dedup": op5_line_dedup}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op5_line_dedup": op5_line_dedup,
+}
 ORACLES: dict[str, str] = {"op5_line_dedup": OP5_SQL}
