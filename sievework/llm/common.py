@@ -31,29 +31,48 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-_SPACE = np.zeros(256, bool)
-_SPACE[list(map(ord, ASCII_SPACE))] = True
+_SOLID = np.ones(256, np.int8)
+_SOLID[list(map(ord, ASCII_SPACE))] = 0
 _VALUE = mix64(np.arange(1, 257, dtype=np.uint64) * _B)
 _INV = np.uint64(pow(int(_B), -1, 1 << 64))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.ones(1, np.uint64)
-    step = base
-    while len(out) < n:
-        out = np.concatenate([out, out * step])
-        step = step * step
-    return out[:n]
+class _Powers:
+    """Powers of a number modulo 2**64, kept and extended as longer texts come."""
+
+    def __init__(self, base: np.uint64):
+        self.base, self.known = base, np.ones(1, np.uint64)
+
+    def __getitem__(self, n: int) -> np.ndarray:
+        while len(self.known) < n:
+            with np.errstate(over="ignore"):
+                step = self.known[-1] * self.base
+                self.known = np.concatenate([self.known, self.known * step])
+        return self.known[:n]
+
+
+_UP, _DOWN = _Powers(_B), _Powers(_INV)
+
+
+def word_spans(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words [^\\x20\\x09-\\x0D]+ of a text in UTF-8 begin and end."""
+    solid = np.zeros(len(a) + 2, np.int8)
+    solid[1:-1] = _SOLID[a]
+    edge = np.diff(solid)
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def span_hashes(a: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes of each span, the same wherever it lies."""
+    with np.errstate(over="ignore"):
+        total = np.zeros(len(a) + 1, np.uint64)
+        np.cumsum(_VALUE[a] * _UP[len(a)], out=total[1:])
+        return mix64(((total[hi] - total[lo]) * _DOWN[len(a)][lo]) ^ ((hi - lo).astype(np.uint64) * _M2))
 
 
 def word_hashes(text: bytes) -> np.ndarray:
-    """64-bit hashes of the words [^\\x20\\x09-\\x0D]+ of a text in UTF-8, in order."""
+    """64-bit hashes of a text's words, in order."""
     a = np.frombuffer(text, np.uint8)
     if not len(a):
         return np.empty(0, np.uint64)
-    edge = np.diff(np.concatenate([[True], _SPACE[a], [True]]).astype(np.int8))
-    lo, hi = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    with np.errstate(over="ignore"):
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUE[a] * _powers(_B, len(a)), dtype=np.uint64)])
-        h = (total[hi] - total[lo]) * _powers(_INV, len(a))[lo]
-        return mix64(h ^ ((hi - lo).astype(np.uint64) * _M2))
+    return span_hashes(a, *word_spans(a))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import line_dedup, near_dedup
+from sievework.llm import decontaminate, line_dedup, near_dedup, packing, toxicity
 from sievework.llm.common import table
 
 
@@ -15,11 +15,28 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).drop("text")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    usable = ~toxicity.held_out(F.col("doc_id"))
+    out = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), usable=usable)
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 OP5_SQL = r"""
 WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM t),
@@ -35,6 +52,9 @@ FROM d GROUP BY doc_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_decontaminate": op2_decontaminate,
     "op5_line_dedup": op5_line_dedup,
+    "op6_bm25_packing": op6_bm25_packing,
+    "op7_toxicity": op7_toxicity,
 }
 ORACLES: dict[str, str] = {"op5_line_dedup": OP5_SQL}
