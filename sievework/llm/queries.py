@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import decontaminate, line_dedup, near_dedup, packing, topk, toxicity
+from sievework.llm import decontaminate, line_dedup, near_dedup, packing, pii, topk, toxicity
 from sievework.llm.common import table
 
 
@@ -37,6 +37,14 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"] != pii.TERM)
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -70,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op6_bm25_packing": op6_bm25_packing,
     "op7_toxicity": op7_toxicity,
+    "op9_pii": op9_pii,
     "op10_topk": op10_topk,
 }
 ORACLES: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op10_topk": OP10_SQL}
