@@ -6,5 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its name, with SQL that gives the same rows where there is any."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# the modules below register their queries
+from sievework.plans import audit, curate, review  # noqa: E402, F401
