@@ -12,10 +12,18 @@ may be wrong. (A chunk agrees so at similarity 0.75 with probability 0.738; all
 probability 1.5e-6, and far less above 0.75.) Pairs further apart that meet anyway are kept:
 every candidate is confirmed on the full sets, in integers.
 
-No bucket is expanded into all its pairs. Equal sets are one class from the start. In each
-round a bucket pairs a few leaders with its other members, the links found are joined into
-components, and only buckets that still hold members of several components go on, with twice as
-many leaders. A bucket is done when all its members are in one component or all but one have led.
+No bucket is expanded into its pairs as rows. Equal sets are one class from the start. Each class
+is first compared with one leader, the one it shares most buckets with, and the links are joined
+into components. Buckets that then hold members of several components are joined into families,
+and each family is settled through its hub, the member h with most links. With A = h - x,
+B = x - h, D = A + B and c = 4 |A| + 3 |B|, for members x and y
+
+    100 |x & y| >= 75 |x + y|   if and only if   7 |Dx & Dy| >= c(x) + c(y) - |h|,
+
+and x is linked with h itself if and only if c(x) <= |h|. So the members with c(x) <= |h| are one
+component, and only the others, the stragglers, are held against the members, by their short
+differences alone. That goes in cells of at most about CELL stragglers and CELL members, as a
+product of matrices, and a cell gives a spanning forest of its links, not the links.
 """
 
 from __future__ import annotations
@@ -24,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.scratch import Scratch
@@ -34,6 +42,8 @@ from sievework.operators.components import connected_components
 SHINGLE = 5
 CHUNKS, CHUNK_SIZE, CHUNK_ERRORS = 10, 4, 1
 WORDS_PER_SIGNATURE = CHUNKS * CHUNK_SIZE
+#: Stragglers, and members, in a cell; elements that so many pairs of a cell share are counted by a dense product.
+CELL, FREQUENT = 1500, 64
 _ODD = mix64(np.arange(1, 1 + max(SHINGLE, WORDS_PER_SIGNATURE), dtype=np.uint64)) | np.uint64(1)
 
 
@@ -115,42 +125,119 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"rep": batch["rep"], "set": [shingle_set(t).tobytes() for t in batch["text"]]})
 
 
+def _common(p: np.ndarray, q: np.ndarray) -> int:
+    both = np.sort(np.concatenate([p, q]))
+    return int((both[1:] == both[:-1]).sum())
+
+
 def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         keep = []
         for x, y in zip(batch["set_a"], batch["set_b"], strict=True):
             p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(p, q, assume_unique=True))
+            both = _common(p, q)
             keep.append(100 * both >= 75 * (len(p) + len(q) - both))
         yield batch.loc[keep, ["a", "b"]]
 
 
-class _Linker:
-    """Confirms candidate pairs on full sets, each pair once."""
-
-    def __init__(self, texts: DataFrame, sizes: DataFrame, scratch: Scratch):
-        self.texts, self.sizes, self.scratch = texts, sizes, scratch
-        self.checked: DataFrame | None = None
-        self.round = 0
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        self.round += 1
-        pairs = pairs.distinct()
-        if self.checked is not None:
-            pairs = pairs.join(self.checked, ["a", "b"], "left_anti")
-        n = self.sizes
-        pairs = pairs.join(n.select(F.col("rep").alias("a"), F.col("n").alias("na")), "a").join(n.select(F.col("rep").alias("b"), F.col("n").alias("nb")), "b")
-        pairs = pairs.where(4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb")).select("a", "b").distinct()
-        pairs = self.scratch.save(pairs, f"pairs{self.round}")
-        self.checked = pairs if self.checked is None else self.checked.unionByName(pairs)
-        ends = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-        sets = self.texts.join(ends.hint("shuffle_hash"), "rep", "left_semi").mapInPandas(_sets, "rep long, set binary")
-        sets = self.scratch.save(sets, f"sets{self.round}")
-        full = pairs.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a")), "a")
-        full = full.join(sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b")), "b")
-        out = self.scratch.save(full.mapInPandas(_confirm, "a long, b long"), f"links{self.round}")
-        self.scratch.drop(f"sets{self.round}")
+def _differences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What tells each member from its family's hub."""
+    for batch in batches:
+        rows = []
+        for x, y in zip(batch["set"], batch["hub_set"], strict=True):
+            own, hub = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            a, b = np.setdiff1d(hub, own, assume_unique=True), np.setdiff1d(own, hub, assume_unique=True)
+            rows.append((len(hub), 4 * len(a) + 3 * len(b), np.concatenate([b, a]).tobytes()))
+        yield pd.concat([batch[["family", "hub", "rep"]].reset_index(drop=True), pd.DataFrame(rows, columns=["n_hub", "cost", "diff"])], axis=1)
+
+
+def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many elements each of x has in common with each of y; elements are distinct within a set."""
+    out = np.zeros((len(x), len(y)), np.float32)
+    ex, ey = np.concatenate([np.empty(0, np.uint64), *x]), np.concatenate([np.empty(0, np.uint64), *y])
+    ix, iy = np.repeat(np.arange(len(x)), [len(p) for p in x]), np.repeat(np.arange(len(y)), [len(p) for p in y])
+    known = np.intersect1d(ex, ey)
+    if not len(known):
         return out
+    kx, ky = np.isin(ex, known), np.isin(ey, known)
+    ex, ix, ey, iy = np.searchsorted(known, ex[kx]), ix[kx], np.searchsorted(known, ey[ky]), iy[ky]
+    met = np.bincount(ex, minlength=len(known)) * np.bincount(ey, minlength=len(known))
+    often = np.flatnonzero(met >= FREQUENT)
+    for at in range(0, len(often), 512):  # frequent elements: a dense product
+        column = np.full(len(known), -1)
+        column[part] = np.arange(len(part := often[at : at + 512]))
+        dense = [np.zeros((n, len(part)), np.float32) for n in out.shape]
+        for m, e, i in zip(dense, (ex, ey), (ix, iy), strict=True):
+            m[i[column[e] >= 0], column[e][column[e] >= 0]] = 1
+        out += dense[0] @ dense[1].T
+    rare = met < FREQUENT
+    kx, ky = rare[ex], rare[ey]
+    ex, ix, ey, iy = ex[kx], ix[kx], ey[ky], iy[ky]
+    order = np.argsort(ey, kind="stable")
+    ey, iy = ey[order], iy[order]
+    lo = np.searchsorted(ey, ex)
+    n = np.searchsorted(ey, ex, "right") - lo
+    place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+    np.add.at(out, (np.repeat(ix, n), iy[place]), 1)
+    return out
+
+
+def _cell(rows: pd.DataFrame) -> pd.DataFrame:
+    """A spanning forest of the links between a cell's stragglers and members."""
+    x, y = rows[rows["stray"]], rows[~rows["stray"]]
+    salt = mix64(rows["family"].to_numpy(np.int64).view(np.uint64))
+    sets = [np.frombuffer(d, np.uint64) ^ f for d, f in zip(rows["diff"], salt, strict=True)]
+    stray = rows["stray"].to_numpy()
+    same = _overlaps([s for s, f in zip(sets, stray, strict=True) if f], [s for s, f in zip(sets, stray, strict=True) if not f])
+    need = x["cost"].to_numpy()[:, None] + y["cost"].to_numpy()[None, :] - y["n_hub"].to_numpy()[None, :]
+    rx, ry = x["rep"].to_numpy(np.int64), y["rep"].to_numpy(np.int64)
+    linked = (x["family"].to_numpy()[:, None] == y["family"].to_numpy()[None, :]) & ((7 * same >= need) | (rx[:, None] == ry[None, :]))
+    lx, ly, last = rx, ry, None
+    far = np.iinfo(np.int64).max
+    while last is None or not (np.array_equal(last[0], lx) and np.array_equal(last[1], ly)):
+        last = lx, ly
+        lx = np.minimum(lx, np.where(linked, ly[None, :], far).min(1, initial=far))
+        ly = np.minimum(ly, np.where(linked, lx[:, None], far).min(0, initial=far))
+    a, b = np.concatenate([lx, ly]), np.concatenate([rx, ry])
+    return pd.DataFrame({"a": a[a != b], "b": b[a != b]})
+
+
+def _with_components(rows: DataFrame, components: DataFrame) -> DataFrame:
+    """rows with the component of `rep`, itself where it has no link."""
+    named = rows.join(components.withColumnRenamed("node", "rep"), "rep", "left")
+    return named.withColumn("component", F.coalesce("component", "rep"))
+
+
+def _settle(open_rows: DataFrame, links: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """The links (a, b) that are missing in buckets (key, first, rep) of several components."""
+    families = connected_components(open_rows.where("rep <> first").select("first", "rep"), "first", "rep", scratch, "families")
+    families = scratch.save(families.select(F.col("node").alias("rep"), F.col("component").alias("family")), "families")
+    ends = links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep")))
+    degree = ends.groupBy("rep").agg(F.count(F.lit(1)).alias("degree"))
+    ranked = families.join(degree, "rep", "left").select("family", "rep", F.coalesce("degree", F.lit(0)).alias("degree"))
+    hubs = ranked.groupBy("family").agg(F.max_by("rep", F.struct("degree", -F.col("rep"))).alias("hub"))
+    members = families.join(hubs, "family").join(sets, "rep")
+    members = members.join(sets.select(F.col("rep").alias("hub"), F.col("set").alias("hub_set")), "hub")
+    members = members.select("family", "hub", "rep", "set", "hub_set").mapInPandas(_differences, "family long, hub long, rep long, n_hub long, cost long, diff binary")
+    members = scratch.save(members, "members")
+    direct = members.where("cost <= n_hub AND rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
+
+    strays = members.where("cost > n_hub")
+    sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("cost") > F.col("n_hub")).alias("n_stray")).where("n_stray > 0")
+    sizes = scratch.save(sizes, "sizes")
+    packs = 1 + (sizes.where(F.col("n") <= CELL).agg(F.sum("n")).first()[0] or 0) // CELL
+    # small families share a cell with others; large ones are dealt into blocks by a hash
+    small = F.col("n") <= CELL
+    parts = lambda n: F.when(small, F.lit(1)).otherwise(F.ceil(F.col(n) / CELL)).cast("int")
+    base = F.when(small, F.pmod(F.xxhash64("family"), F.lit(packs))).otherwise(F.xxhash64("family", F.lit("own")))
+    dealt = sizes.select("family", base.alias("base"), parts("n").alias("blocks"), parts("n_stray").alias("stray_blocks"))
+    block = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    fields = ["family", "rep", "cost", "n_hub", "diff"]
+    xs = strays.join(dealt, "family").select("base", block("stray_blocks").alias("i"), every("blocks").alias("j"), F.lit(True).alias("stray"), *fields)
+    ys = members.join(dealt, "family").select("base", every("stray_blocks").alias("i"), block("blocks").alias("j"), F.lit(False).alias("stray"), *fields)
+    found = xs.unionByName(ys).groupBy("base", "i", "j").applyInPandas(_cell, "a long, b long")
+    return direct.unionByName(scratch.save(found, "strays"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -159,50 +246,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component_id is the smallest id reachable over links between sets with Jaccard similarity of
     at least 0.75 (compared as 100 * intersection >= 75 * union). Null, empty and blank texts
     have the empty set, which is linked with nothing; equal short texts are linked. Rows with a
-    null id are left out. Rows that repeat an id give a row each, with their own n_shingles and
-    the component of their own set; links of any of an id's texts hold for the id. An empty
-    table gives an empty table.
+    null id are left out. Rows that repeat an id give a row each, with their own n_shingles; an
+    id's sets are linked to each other through it. An empty table gives an empty table.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "near")
+    scratch = Scratch(docs.sparkSession, "near")
     source = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     described = scratch.save(source.mapInPandas(_describe, "id long, n long, ha long, hb long, sig binary"), "described")
-    filled = described.where("n > 0")
-    classes = filled.groupBy("n", "ha", "hb").agg(F.min_by(F.struct("id", "sig"), "id").alias("x"))
+    classes = described.where("n > 0").groupBy("n", "ha", "hb").agg(F.min_by(F.struct("id", "sig"), "id").alias("x"))
     reps = scratch.save(classes.select(F.col("x.id").alias("rep"), "n", "ha", "hb", "x.sig"), "reps")
     keys = reps.select("rep", "sig").mapInPandas(_keys, "key long, rep long")
     shared = keys.groupBy("key").agg(F.min("rep").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "first")
     buckets = scratch.save(keys.join(shared, "key").select("key", "first", "rep"), "buckets")
 
-    linker = _Linker(source.select(F.col("id").alias("rep"), "text"), reps.select("rep", "n"), scratch)
-    links = linker.links(buckets.where("rep > first").select(F.col("first").alias("a"), F.col("rep").alias("b")))
-    components = scratch.save(connected_components(links, "a", "b", scratch, "r1-"), "components1")
-    led = buckets.select("key", F.col("first").alias("rep")).distinct()
-    active = buckets.select("key", "rep")
-    leaders, k = 1, 1
-    while True:
-        k += 1
-        named = active.join(components.withColumnRenamed("node", "rep"), "rep", "left")
-        named = named.select("key", "rep", F.coalesce("component", "rep").alias("component"))
-        mixed = named.join(led, ["key", "rep"], "left_anti").groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-        open_rows = named.join(mixed.select("key", "lo"), "key").join(led.withColumn("led", F.lit(True)), ["key", "rep"], "left")
-        open_rows = scratch.save(open_rows.select("key", "rep", "component", "lo", F.col("led").isNotNull().alias("led")), f"open{k}")
-        if open_rows.isEmpty():
-            break
-        # leaders come from outside the component `lo` first: often all but a few are in one
-        turn = Window.partitionBy("key").orderBy((F.col("component") == F.col("lo")).cast("int"), "rep")
-        chosen = open_rows.where("not led").withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= leaders)
-        chosen = scratch.save(chosen.select("key", "rep", "component"), f"chosen{k}")
-        lead = chosen.select("key", F.col("rep").alias("x"), F.col("component").alias("cx"))
-        found = open_rows.where("not led").join(lead, "key").where("component <> cx")
-        new = linker.links(found.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")))
-        links = links.unionByName(new)
-        components = scratch.save(connected_components(links, "a", "b", scratch, f"r{k}-"), f"components{k}")
-        led = led.unionByName(chosen.select("key", "rep"))
-        active = open_rows.select("key", "rep")
-        leaders *= 2
-
-    rep_of = reps.join(components.withColumnRenamed("node", "rep"), "rep", "left")
-    rep_of = rep_of.select("n", "ha", "hb", F.coalesce("component", "rep").alias("component_id"))
-    out = described.drop("sig").join(rep_of, ["n", "ha", "hb"], "left").select("id", "n", F.coalesce("component_id", "id").alias("component_id"))
+    texts = source.select(F.col("id").alias("rep"), "text")
+    sets = texts.join(buckets.select("rep").distinct().hint("shuffle_hash"), "rep", "left_semi").mapInPandas(_sets, "rep long, set binary")
+    sets = scratch.save(sets, "sets")
+    led = buckets.where("rep > first").groupBy("rep", "first").agg(F.count(F.lit(1)).alias("n"))
+    led = led.groupBy("rep").agg(F.max_by("first", F.struct("n", -F.col("first"))).alias("first"))
+    pairs = led.join(sets, "rep").select(F.col("first").alias("a"), F.col("rep").alias("b"), F.col("set").alias("set_b"))
+    pairs = pairs.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a")), "a")
+    links = scratch.save(pairs.mapInPandas(_confirm, "a long, b long"), "links")
+
+    components = scratch.save(connected_components(links, "a", "b", scratch, "led"), "components")
+    named = _with_components(buckets, components)
+    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    open_rows = scratch.save(buckets.join(mixed.select("key"), "key", "left_semi"), "open")
+    if not open_rows.isEmpty():
+        links = links.unionByName(_settle(open_rows, links, sets, scratch))
+        components = scratch.save(connected_components(links, "a", "b", scratch, "all"), "settled")
+
+    named = _with_components(reps, components).select("n", "ha", "hb", F.col("component").alias("component_id"))
+    out = described.drop("sig").join(named, ["n", "ha", "hb"], "left").select("id", "n", F.coalesce("component_id", "id").alias("component_id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", (F.col("component_id") == F.col("id")).alias("kept"))
