@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import chat_format, decontaminate, line_dedup, near_dedup, packing, pii, quality, topk, toxicity
+from sievework.llm import chat_format, decontaminate, line_dedup, near_dedup, packing, pii, quality, suffix_dedup, topk, toxicity
 from sievework.llm.common import table
 
 
@@ -20,6 +20,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).drop("text")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -116,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op3_chat_format": op3_chat_format,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_bm25_packing": op6_bm25_packing,
     "op7_toxicity": op7_toxicity,
