@@ -54,7 +54,7 @@ def try_parse_points(text: Column) -> Column:
 
 def drop_consecutive_points(text: Column) -> Column:
     """Point tokens without those equal to the one before; empty tokens go. Equality is of text."""
-    tokens = F.filter(F.transform(F.split(text, ";"), F.trim), lambda t: t != "")
+    tokens = F.filter(F.transform(F.split(text, ";"), lambda t: F.trim(t)), lambda t: t != "")
     return F.array_join(F.filter(tokens, lambda t, i: (i == 0) | (t != F.get(tokens, i - 1))), ";")
 
 
