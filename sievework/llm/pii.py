@@ -133,12 +133,13 @@ def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             pairs = set()
             for (kind, a, b), (start, end) in zip(spans, own, strict=True):
                 entity = f"{kind}:{text[a:b].lower()}"
-                pairs.add((entity, None))
+                pairs.add((entity, 0, True))
                 before = free[: np.searchsorted(terms.hi[free], start, "right")][-REACH:]
                 after = free[np.searchsorted(terms.lo[free], end) :][:REACH]
-                pairs |= {(entity, int(h)) for h in terms.hash[np.concatenate([before, after])].view(np.int64)}
+                pairs |= {(entity, int(h), False) for h in terms.hash[np.concatenate([before, after])].view(np.int64)}
             rows += pairs
-        yield pd.DataFrame({"entity": [r[0] for r in rows], "term": pd.array([r[1] for r in rows], "Int64")})
+        if rows:
+            yield pd.DataFrame(rows, columns=["entity", "term", "alone"])
 
 
 def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -151,10 +152,10 @@ def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def disclosing_terms(texts: DataFrame) -> DataFrame:
     """(entity, term, n_both, n_term, n_entity): pairs beyond the thresholds, from rows (text)."""
-    pairs = texts.mapInPandas(_contexts, "entity string, term long").groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n"))
+    pairs = texts.mapInPandas(_contexts, "entity string, term long, alone boolean").groupBy("entity", "term", "alone").agg(F.count(F.lit(1)).alias("n"))
     pairs = Scratch(texts.sparkSession, "pii").save(pairs, "pairs")
-    entity = pairs.where("term IS NULL").select("entity", F.col("n").alias("n_entity"))
-    both = pairs.where((F.col("term").isNotNull()) & (F.col("n") >= MIN_DOCS)).select("entity", "term", F.col("n").alias("n_both"))
+    entity = pairs.where("alone").select("entity", F.col("n").alias("n_entity"))
+    both = pairs.where(~F.col("alone") & (F.col("n") >= MIN_DOCS)).select("entity", "term", F.col("n").alias("n_both"))
     counts = texts.mapInPandas(_term_counts, "term long, n long")
     counts = counts.join(both.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_term"))
     total = texts.count()
@@ -177,12 +178,22 @@ def _term_blocks(terms: DataFrame) -> Iterator[np.ndarray]:
 _SPANS = "array<struct<kind:string,start:int,end:int>>"
 
 
+def _listed(spans: list[tuple[str, int, int]]) -> str:
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+
+
+def _parsed(listed: Column) -> Column:
+    """Spans as text (kind:start:end, joined by commas), as an array of structs."""
+    one = lambda x: F.struct(F.split_part(x, F.lit(":"), F.lit(1)).alias("kind"), F.split_part(x, F.lit(":"), F.lit(2)).cast("int").alias("start"), F.split_part(x, F.lit(":"), F.lit(3)).cast("int").alias("end"))
+    return F.when(listed == "", F.array().cast(_SPANS)).otherwise(F.transform(F.split(listed, ","), one))
+
+
 def _base_column(text: Column) -> Column:
     def find(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"kind": k, "start": a, "end": b} for k, a, b in base_spans(t)] if t else [] for t in texts])
+        return pd.Series([_listed(base_spans(t)) if t else "" for t in texts], dtype=object)
 
     find.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-    return F.pandas_udf(find, _SPANS)(text)
+    return F.pandas_udf(find, "string")(text)
 
 
 def _term_column(shipped: Broadcast, text: Column) -> Column:
@@ -199,12 +210,12 @@ def _term_column(shipped: Broadcast, text: Column) -> Column:
                 if hit.any():
                     hit &= ~t.overlaps(_byte_spans(text, base_spans(text)))
                     at = np.concatenate([[0], np.cumsum((np.frombuffer(t.raw, np.uint8) & 0xC0) != 0x80)])
-                    found = [{"kind": TERM, "start": int(a), "end": int(b)} for a, b in zip(at[t.lo[hit]], at[t.hi[hit]], strict=True)]
-            out.append(found)
-        return pd.Series(out)
+                    found = [(TERM, int(a), int(b)) for a, b in zip(at[t.lo[hit]], at[t.hi[hit]], strict=True)]
+            out.append(_listed(found))
+        return pd.Series(out, dtype=object)
 
     find.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-    return F.pandas_udf(find, _SPANS)(text)
+    return F.pandas_udf(find, "string")(text)
 
 
 def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -221,8 +232,10 @@ def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
         found.append(_term_column(docs.sparkSession.sparkContext.broadcast(block), F.col(text_col)))
     kept = [F.col(c) for c in docs.columns if c != "spans"]
     parts = docs.select(*kept, *(c.alias(f"_spans{i}") for i, c in enumerate(found)))
-    terms = F.array_sort(F.concat(*(F.col(f"_spans{i}") for i in range(1, len(found))))) if len(found) > 1 else None
-    return parts.select(*kept, (F.concat("_spans0", terms) if terms is not None else F.col("_spans0")).alias("spans"))
+    spans = [_parsed(F.col(f"_spans{i}")) for i in range(len(found))]
+    if len(spans) > 1:
+        spans[0] = F.concat(spans[0], F.array_sort(F.concat(*spans[1:])))
+    return parts.select(*kept, spans[0].alias("spans"))
 
 
 def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -232,16 +245,20 @@ def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def rewrite(texts: pd.Series, spans: pd.Series) -> pd.Series:
         out = []
         for text, found in zip(texts, spans, strict=True):
+            if text is None or not found:
+                out.append(text)
+                continue
+            places = [(int(a), int(b), kind) for kind, a, b in (x.split(":") for x in found.split(","))]
             done, parts = 0, []
-            for s in sorted(found if found is not None else [], key=lambda s: (s["start"], -s["end"])):
-                if s["start"] < done:
+            for start, end, kind in sorted(places, key=lambda p: (p[0], -p[1])):
+                if start < done:
                     continue
-                value = text[s["start"] : s["end"]]
-                mark = f"[{s['kind'].upper()}]" if s["kind"] != TERM else "[NUMBER]" if any(c.isdigit() for c in value) else "[REMOVED]"
-                parts += [text[done : s["start"]], mark]
-                done = s["end"]
-            out.append(None if text is None else "".join(parts) + text[done:])
-        return pd.Series(out)
+                number = any(c.isdigit() for c in text[start:end])
+                parts += [text[done:start], f"[{kind.upper()}]" if kind != TERM else "[NUMBER]" if number else "[REMOVED]"]
+                done = end
+            out.append("".join(parts) + text[done:])
+        return pd.Series(out, dtype=object)
 
     rewrite.__annotations__ = {"texts": pd.Series, "spans": pd.Series, "return": pd.Series}
-    return find_personal_data(docs, text_col).withColumn("sanitised", F.pandas_udf(rewrite, "string")(F.col(text_col), F.col("spans")))
+    listed = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return find_personal_data(docs, text_col).withColumn("sanitised", F.pandas_udf(rewrite, "string")(F.col(text_col), listed))

@@ -132,7 +132,7 @@ def _repeated(rows: pd.DataFrame) -> pd.DataFrame:
     once = np.sort(np.concatenate(names))
     twice = np.unique(np.concatenate([once[1:][once[1:] == once[:-1]], *(np.frombuffer(x, np.uint32) for x in rows["again"])]))
     if not len(twice):
-        return pd.DataFrame({"block": [], "bucket": [], "names": []})
+        return pd.DataFrame([], columns=["block", "bucket", "names"])
     hits = [x[twice[np.minimum(np.searchsorted(twice, x), len(twice) - 1)] == x].tobytes() for x in names]
     out = pd.DataFrame({"block": rows["block"], "bucket": rows["bucket"], "names": hits})
     return out[out["names"].str.len() > 0]
@@ -259,7 +259,7 @@ def _merge(rows: pd.DataFrame) -> pd.DataFrame:
             owner.append(np.stack([piece, inner]))
         first += count
     if not hashes:
-        return pd.DataFrame({"block": [], "found": []})
+        return pd.DataFrame([], columns=["block", "found"])
     h, (piece, inner) = np.concatenate(hashes), np.concatenate(owner, axis=1)
     order = np.argsort(h)
     equal = h[order][1:] == h[order][:-1]
