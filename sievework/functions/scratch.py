@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sievework.functions.ship import ship_package
+
 OWN_DIR = "sievework.scratch.dir"
 
 
@@ -23,6 +25,7 @@ class Scratch:
     """Parquet tables under one fresh folder of the shared directory."""
 
     def __init__(self, spark: SparkSession, label: str):
+        ship_package(spark)
         self.spark, self.base = spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
