@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 
 WINDOW = 1024
 #: A shard ends at this many tokens or documents: what a task holds at once.
-SHARD_TOKENS, SHARD_DOCS = 1_500_000, 4000
+SHARD_TOKENS, SHARD_DOCS = 1_000_000, 3000
 #: A seed's heaviest terms that are looked up, and BM25's usual constants.
 QUERY_TERMS, K1, B = 12, 1.2, 0.75
 END = 0

@@ -228,7 +228,8 @@ def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     texts = docs.select(F.col(text_col).alias("text"))
     found = [_base_column(F.col(text_col))]
-    for block in _term_blocks(disclosing_terms(texts)):
+    terms = Scratch(docs.sparkSession, "pii-terms").save(disclosing_terms(texts), "terms")
+    for block in _term_blocks(terms):
         found.append(_term_column(docs.sparkSession.sparkContext.broadcast(block), F.col(text_col)))
     kept = [F.col(c) for c in docs.columns if c != "spans"]
     parts = docs.select(*kept, *(c.alias(f"_spans{i}") for i, c in enumerate(found)))

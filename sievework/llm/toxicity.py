@@ -1,7 +1,7 @@
 """Toxicity scores from a learned lexicon, matched by a Levenshtein automaton on its trie.
 
-The lexicon is learned from labelled rows: words, and stems (word beginnings), that are found in
-toxic documents far more often than chance. A document's words run through the product of the
+The lexicon is learned from labelled rows: words, and stems (proper beginnings of words), that are
+found in toxic documents far more often than chance. A document's words run through the product of the
 lexicon's trie and a Levenshtein automaton of one error, made deterministic as states come up, so
 misspelled terms are caught in one pass over a word whatever the lexicon's size. Each hit is
 weighed by its context window: inside quotation marks or after a word of reporting it counts
@@ -30,9 +30,11 @@ from sievework.llm.logistic import Logistic, fit
 SAMPLE, TERMS = 6000, 2000
 #: A term is learned if its likelihood-ratio statistic is at least this, and so much of its weight lies on toxic rows.
 EVIDENCE, PRECISION = 20.0, 0.95
-STEMS = (4, 5, 6)
-#: Terms shorter than this must be spelled right.
-FUZZY_FROM = 5
+STEMS = (3, 4, 5, 6, 7, 8)
+#: Documents whose terms are counted at once, and words whose matches are remembered, in a worker.
+COUNTED, REMEMBERED = 500, 150_000
+#: Words, and stems, shorter than this must be spelled right.
+FUZZY_FROM, FUZZY_STEM_FROM = 5, 6
 #: Characters before and after a hit that are its context.
 REACH = 60
 #: Quotation marks, words of reporting, address in the second person.
@@ -45,7 +47,7 @@ _WORD = re.compile(r"\w+")
 
 
 class Automaton:
-    """The words within one edit of a lexicon's words, and those that begin within one edit of its stems."""
+    """The words within one edit of a lexicon's words, and those that go on from within one edit of its stems."""
 
     def __init__(self, words: list[str], stems: list[str]):
         self.children: list[dict[str, int]] = [{}]
@@ -75,8 +77,8 @@ class Automaton:
             self.number[s] = len(self.states)
             self.states.append(s)
             self.next.append({})
-            fits = lambda term, e: not e or len(term) >= FUZZY_FROM
-            stems = [(e, self.stem[n]) for n, e in s if self.stem[n] and fits(self.stem[n], e)]
+            fits = lambda term, e, least=FUZZY_FROM: not e or len(term) >= least
+            stems = [(e, self.stem[n]) for n, e in s if self.stem[n] and fits(self.stem[n], e, FUZZY_STEM_FROM)]
             words = [(e, self.word[n]) for n, e in s if self.word[n] and fits(self.word[n], e)]
             words += [(1, self.word[k]) for n, e in s if not e for k in self.children[n].values() if self.word[k] and fits(self.word[k], 1)]
             self.begun.append(min(stems)[::-1] if stems else None)
@@ -104,14 +106,14 @@ class Automaton:
         """('word' or 'stem', term, errors) of the best match: fewest errors, then whole words."""
         state, stem = self.start, None
         for c in word:
+            if (b := self.begun[state]) and (stem is None or b[1] < stem[1]):
+                stem = b  # as another character follows
             if c not in self.alphabet:
                 c = ""
             following = self.next[state]
             if c not in following:
                 following[c] = self._step(state, c)
             state = following[c]
-            if (b := self.begun[state]) and (stem is None or b[1] < stem[1]):
-                stem = b
             if not self.states[state]:
                 break
         ended = self.ended[state]
@@ -140,7 +142,7 @@ class Lexicon:
             hit = False
             for w in set(words):
                 if w not in known:
-                    if len(known) > 400_000:
+                    if len(known) > REMEMBERED:
                         known.clear()
                     known[w] = automaton.match(w)
                 if known[w] is not None:
@@ -183,16 +185,18 @@ def context_weight(text: str, start: int, end: int) -> float:
 def terms_of(text: str | None) -> set[str]:
     words = set(_WORD.findall((text or "").lower()))
     words = {w for w in words if not w.isdigit() and len(w) <= 40}
-    return words | {f"^{w[:k]}" for w in words for k in STEMS if len(w) >= k}
+    return words | {f"^{w[:k]}" for w in words for k in STEMS if len(w) > k}
 
 
 def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        counts = {0: Counter(), 1: Counter()}
-        for text, toxic in zip(batch["text"], batch["label"], strict=True):
-            counts[int(toxic)].update(terms_of(text))
-        terms = sorted(counts[0].keys() | counts[1].keys())
-        yield pd.DataFrame({"term": terms, "n1": [counts[1][t] for t in terms], "n0": [counts[0][t] for t in terms]})
+        for at in range(0, len(batch), COUNTED):
+            part = batch.iloc[at : at + COUNTED]
+            counts = {0: Counter(), 1: Counter()}
+            for text, toxic in zip(part["text"], part["label"], strict=True):
+                counts[int(toxic)].update(terms_of(text))
+            terms = list(counts[0].keys() | counts[1].keys())
+            yield pd.DataFrame({"term": terms, "n1": [counts[1][t] for t in terms], "n0": [counts[0][t] for t in terms]})
 
 
 def held_out(id_col: Column) -> Column:

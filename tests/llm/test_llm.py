@@ -332,7 +332,8 @@ def test_automaton_equals_edit_distance():
 def test_stems():
     automaton = toxicity.Automaton([], ["lowei", "veq"])
     assert automaton.match("loweischaft") == ("stem", "lowei", 0) and automaton.match("vequ") == ("stem", "veq", 0)
-    assert automaton.match("laweischaft") == ("stem", "lowei", 1) and automaton.match("vaqu") is None
+    assert automaton.match("lowei") is None and automaton.match("laweischaft") is None and automaton.match("vaqu") is None
+    assert toxicity.Automaton([], ["achlich"]).match("achlochung") == ("stem", "achlich", 1)
 
 
 def test_context():
