@@ -25,6 +25,8 @@ from sievework.functions.scratch import Scratch
 
 SCALE, SLICES = 1024, 4
 QUERY_BLOCK, CANDIDATE_BLOCK = 512, 4096
+#: Groups of candidate blocks that each query block is sent to.
+MOST_LANES = 1 << 16
 #: Sums up to here are exact in floating point.
 EXACT = float(1 << 53)
 LONG = (1 << 63) - 1
@@ -142,13 +144,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
     blocks = scratch.save(blocks.withColumn("block", F.monotonically_increasing_id()), "candidates")
     queries = rows.where("is_query").select("id", "dim", "vector").withColumn("key", F.monotonically_increasing_id())
     queries = scratch.save(queries, "queries")
-    # every query block meets every candidate block of its dimension
-    grid = blocks.select("dim", "block").groupBy("dim").agg(F.collect_list("block").alias("against"))
+    # every query block meets every candidate block of its dimension: it goes to all lanes, a candidate block to one
+    lanes = max(1, min(blocks.count(), MOST_LANES))
+    blocks = blocks.withColumn("lane", F.pmod(F.xxhash64("dim", "block"), F.lit(lanes)))
 
     def met(extra: list[str], source: DataFrame) -> DataFrame:
         packed = source.repartition("dim", (F.col("key") / QUERY_BLOCK).cast("long")).mapInPandas(_blocks(QUERY_BLOCK, ["key", *extra]), f"{kinds}, " + ", ".join(f"{c} binary" for c in ["key", *extra]))
-        packed = packed.join(grid, "dim").select("dim", *(F.col(c).alias(f"q_{c}") for c in ["ids", "vectors", "key", *extra]), F.explode("against").alias("block"))
-        return packed.join(blocks.select("block", "n", "ids", "vectors"), "block")
+        packed = packed.select("dim", *(F.col(c).alias(f"q_{c}") for c in ["ids", "vectors", "key", *extra]), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))).alias("lane"))
+        return packed.join(blocks.select("dim", "lane", "n", "ids", "vectors"), ["dim", "lane"])
 
     first = met([], queries).mapInPandas(_phase(k, False), _FOUND)
     bound = _ranked(first).where(F.col("rank") == k).select("key", F.col("score").cast("double").alias("cutoff"))
