@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.scalar import hamming
+from sievework.functions.scratch import Scratch
 
 #: Bits of a signature: 64 values without the first, which fits a signed long.
 BITS = 63
@@ -34,8 +35,10 @@ def median_bits(values: Column, bits: int = BITS) -> Column:
     ordered = F.array_sort(rest)
     n = F.size(rest)
     middle = (F.get(ordered, F.floor((n - 1) / 2).cast("int")) + F.get(ordered, F.floor(n / 2).cast("int"))) / 2
-    set_bits = F.transform(rest, lambda v, i: F.when(v > middle, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
-    return F.aggregate(set_bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    bit = lambda v, i, m: F.when(v > m, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))
+    bits_of = lambda z: F.aggregate(F.transform(z["v"], lambda v, i: bit(v, i, z["m"])), F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    # in a struct, so that the median is taken once and not for each value
+    return F.get(F.transform(F.array(F.struct(rest.alias("v"), middle.alias("m"))), bits_of), F.lit(0))
 
 
 def _banded(left: DataFrame, right: DataFrame, threshold: int, keys: list[str], bits: int) -> DataFrame:
@@ -59,7 +62,8 @@ def near_pairs(items: DataFrame, id_col: str, sig: Column, threshold: int, keys:
     """
     keys = keys or []
     rows = items.select(F.col(id_col).alias("id"), sig.alias("sig"), *keys, *([F.col(different).alias("content")] if different else []))
-    rows = rows.where(F.col("sig").isNotNull())
+    # written once: else the optimizer moves the signature's expression into the pairs
+    rows = Scratch(items.sparkSession, "signatures").save(rows.where(F.col("sig").isNotNull()), "rows")
     if banded is None:
         banded = BITS // (threshold + 1) >= 9
     close = hamming(F.col("sig_left"), F.col("sig_right")).cast("int")
@@ -83,8 +87,9 @@ def min_distance(candidates: DataFrame, accepted: DataFrame, id_col: str, sig_co
     Accepted signatures are made distinct and counted. Up to BROADCAST_ROWS they are broadcast;
     beyond, candidates meet them in blocks by an equi-join on the block, with a partial minimum.
     """
-    known = accepted.select(F.col(sig_col).alias("known")).where("known IS NOT NULL").distinct()
-    pairs = candidates.select(F.col(id_col).alias("id"), F.col(sig_col).alias("sig"))
+    scratch = Scratch(candidates.sparkSession, "distances")
+    known = scratch.save(accepted.select(F.col(sig_col).alias("known")).where("known IS NOT NULL").distinct(), "known")
+    pairs = scratch.save(candidates.select(F.col(id_col).alias("id"), F.col(sig_col).alias("sig")), "candidates")
     n = known.count()
     if n <= BROADCAST_ROWS:
         met = pairs.join(F.broadcast(known.agg(F.collect_list("known").alias("all"))), F.lit(True))
