@@ -37,9 +37,9 @@ from sievework.functions.scratch import Scratch
 from sievework.llm.common import mix64, span_hashes
 
 MATCH, SEED = 400, 64
-BLOCK_BYTES, BLOCK_DOCS = 4_000_000, 2000
+BLOCK_BYTES, BLOCK_DOCS = 2_000_000, 2000
 #: Input bytes for each bucket of names, and of pieces.
-NAME_BUCKET, PIECE_BUCKET = 12_000_000, 8_000_000
+NAME_BUCKET, PIECE_BUCKET = 8_000_000, 4_000_000
 #: Bytes hashed at once, and windows whose anchors are found at once.
 CHUNK = 1 << 19
 
