@@ -1,8 +1,11 @@
 """Lexical retrieval packing: windows of tokens filled with BM25 neighbours of a seed document.
 
-Each input partition is packed on its own, in shards of bounded size, so there is no shuffle. A
-shard has an inverted index over its documents' token ids with BM25 weights. Documents become
-seeds in their order; a seed's full windows come first, and its last, partly filled window takes
+Token ids are written once. Document frequencies, the number of documents and their mean length
+are counted over all of them. Documents are then range-partitioned and sorted by their KEY_TERMS
+heaviest terms in the whole corpus, so that lexical neighbours and copies come to lie together
+wherever they stood in the input; ties go by the row, so that a hot term is spread. Along that
+order a partition is packed in shards of bounded size. A shard has an inverted index over its
+documents' token ids with the corpus's BM25 weights. Documents become seeds in this order; a seed's full windows come first, and its last, partly filled window takes
 unused documents in the order of their BM25 score for the seed's heaviest terms, cut where the
 window ends. What is left of a cut document is used later. A window that a shard leaves open
 goes on with the next shard's documents; at a partition's end the open window is cut into powers
@@ -12,17 +15,23 @@ of two, so that nothing is padded.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from sievework.functions.scratch import Scratch
 
 WINDOW = 1024
 #: A shard ends at this many tokens or documents: what a task holds at once.
 SHARD_TOKENS, SHARD_DOCS = 1_000_000, 3000
 #: A seed's heaviest terms that are looked up, and BM25's usual constants.
 QUERY_TERMS, K1, B = 12, 1.2, 0.75
+#: As many of a document's heaviest terms decide where it is put.
+KEY_TERMS = 4
 END = 0
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -81,10 +90,38 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+@dataclass
+class Corpus:
+    """The number of documents, their mean length and each term's document frequency."""
+
+    n: int
+    mean: float
+    df: np.ndarray
+
+    def idf(self, terms: np.ndarray) -> np.ndarray:
+        df = self.df[terms]
+        return np.log1p((self.n - df + 0.5) / (df + 0.5)).astype(np.float32)
+
+    def key(self, ids: np.ndarray) -> list[int]:
+        """A document's heaviest terms that another document has too, -1 where there are fewer."""
+        term, tf = np.unique(ids, return_counts=True)
+        shared = self.df[term] > 1
+        term, tf = term[shared], tf[shared]
+        weight = self.idf(term) * tf / (tf + K1 * (1 - B + B * len(ids) / self.mean))
+        best = term[np.lexsort((term, -weight))[:KEY_TERMS]].tolist()
+        return best + [-1] * (KEY_TERMS - len(best))
+
+
+def _corpus(docs: list[np.ndarray]) -> Corpus:
+    df = np.bincount(np.concatenate([np.unique(d) for d in docs]))
+    return Corpus(len(docs), float(np.mean([len(d) for d in docs])), df)
+
+
 class Index:
-    """BM25 weights of a shard's documents by term."""
+    """BM25 weights of a shard's documents by term; without a corpus, the shard is one."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], corpus: Corpus | None = None):
+        corpus = corpus or _corpus(docs)
         lengths = np.array([len(d) for d in docs])
         flat = np.concatenate(docs).astype(np.int64)
         doc_of = np.repeat(np.arange(len(docs)), lengths)
@@ -95,8 +132,8 @@ class Index:
         term, doc = pair >> 32, (pair & 0xFFFFFFFF).astype(np.int32)
         begin = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))
         df = np.diff(np.concatenate([begin, [len(term)]]))
-        idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5)).astype(np.float32)
-        norm = (K1 * (1 - B + B * lengths / lengths.mean())).astype(np.float32)
+        idf = corpus.idf(term[begin])
+        norm = (K1 * (1 - B + B * lengths / corpus.mean)).astype(np.float32)
         weight = np.repeat(idf, df) * tf * (K1 + 1) / (tf + norm[doc])
         self.doc, self.weight, self.begin, self.end, self.n = doc, weight, begin, begin + df, len(docs)
         row = np.repeat(np.arange(len(begin)), df)
@@ -125,8 +162,8 @@ class Index:
 class Packer:
     """Packs one partition; shards are handed in one by one."""
 
-    def __init__(self, partition: int, window: int):
-        self.window, self.next_id, self.room = window, partition << 33, 0
+    def __init__(self, partition: int, window: int, corpus: Corpus | None = None):
+        self.window, self.next_id, self.room, self.corpus = window, partition << 33, 0, corpus
         self.rows: list[tuple] = []
         self.open: list[tuple] = []
 
@@ -147,7 +184,7 @@ class Packer:
         self.next_id += 1
 
     def shard(self, ids: list, docs: list[np.ndarray]) -> Iterator[list[tuple]]:
-        index = Index(docs)
+        index = Index(docs, self.corpus)
         size = np.array([len(d) for d in docs])
         left = size.copy()
 
@@ -195,6 +232,52 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
 
+_TOKENS = "row long, doc_id long, ids binary"
+_KEYS = ", ".join(f"k{i} long" for i in range(KEY_TERMS))
+
+
+def _encoded(path: str):
+    """Rows (doc_id, text) as (row, doc_id, ids): a number of its own for each row, and the ids with END."""
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, row = None, TaskContext.get().partitionId() << 33
+        for batch in batches:
+            encode = encode or Encoder(path)
+            ids = [(np.append(encode(t), np.uint32(END)) if t else np.array([END], np.uint32)).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(range(row, row + len(ids)), pa.int64()), batch.column(0), pa.array(ids, pa.binary())], schema=schema)
+            row += len(ids)
+
+    return run
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's document frequencies; terms -1 and -2 have its documents and tokens."""
+    df, n, total = np.zeros(0, np.int64), 0, 0
+    for batch in batches:
+        for raw in batch.column(0).to_pylist():
+            ids = np.frombuffer(raw, "<u4")
+            term = np.unique(ids)
+            if term[-1] >= len(df):
+                df = np.concatenate([df, np.zeros(int(term[-1]) + 1 - len(df), np.int64)])
+            df[term] += 1
+            n, total = n + 1, total + len(ids)
+    term = np.flatnonzero(df)
+    yield pa.RecordBatch.from_arrays([pa.array([-1, -2, *term], pa.int64()), pa.array([n, total, *df[term]], pa.int64())], names=["term", "n"])
+
+
+def corpus_of(tokens: DataFrame) -> Corpus | None:
+    """What BM25 needs to know of all documents; its size is the vocabulary's."""
+    counts = tokens.select("ids").mapInArrow(_counted, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).where("n > 0")
+    known = {r["term"]: r["n"] for r in counts.toLocalIterator()}
+    if not (n := known.pop(-1, 0)):
+        return None
+    mean = known.pop(-2) / n
+    df = np.zeros(max(known) + 1, np.int64)
+    df[list(known)] = list(known.values())
+    return Corpus(n, mean, df)
+
+
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, window: int = WINDOW) -> DataFrame:
     """One row for each piece of a document, with its token ids (little-endian unsigned 32-bit).
 
@@ -204,17 +287,24 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     which have a power of two. Null ids are kept, equal rows are packed each on its own, an
     empty table gives an empty table.
     """
-    path = tokenizer or default_tokenizer()
+    spark = docs.sparkSession
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
+    tokens = docs.select(docs[id_col].cast("long"), docs[text_col]).mapInArrow(_encoded(tokenizer or default_tokenizer()), _TOKENS)
+    tokens = Scratch(spark, "packing").save(tokens, "tokens")
+    shipped = spark.sparkContext.broadcast(corpus_of(tokens))
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = np.array([shipped.value.key(np.frombuffer(raw, "<u4")) for raw in batch.column(2).to_pylist()], np.int64).reshape(-1, KEY_TERMS)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, keys.T)], names=[*batch.schema.names, *(f"k{i}" for i in range(KEY_TERMS))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, packer = None, Packer(TaskContext.get().partitionId(), window)
+        packer = Packer(TaskContext.get().partitionId(), window, shipped.value)
         ids, held, total = [], [], 0
         for batch in batches:
-            encode = encode or Encoder(path)
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids.append(doc)
-                held.append(np.append(encode(text), np.uint32(END)) if text else np.array([END], np.uint32))
+                held.append(np.frombuffer(raw, "<u4"))
                 total += len(held[-1])
                 if total >= SHARD_TOKENS or len(held) >= SHARD_DOCS:
                     for rows in packer.shard(ids, held):
@@ -228,4 +318,5 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
         if rows := packer.finish():
             yield _batch(rows, schema)
 
-    return docs.select(docs[id_col].cast("long"), docs[text_col]).mapInArrow(run, SCHEMA)
+    order = [*(f"k{i}" for i in range(KEY_TERMS)), "row"]
+    return tokens.mapInArrow(keyed, f"{_TOKENS}, {_KEYS}").repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids").mapInArrow(run, SCHEMA)

@@ -291,6 +291,26 @@ def test_neighbours_share_terms():
     assert 2 not in index.neighbours(0, np.array([0, 4, 0, 4]))
 
 
+def test_packing_finds_copies_in_other_partitions(spark):
+    r = random.Random(16)
+    own = ["".join(r.choice("bcdfgklmnprstvz") + r.choice("aeiou") for _ in range(4)) for _ in range(40)]
+    texts = [" ".join(r.choice((*VOCABULARY[:40], own[i])) for _ in range(150)) for i in range(40)]
+    rows = list(enumerate(texts)) + [(100 + i, texts[i]) for i in r.sample(range(40), 40)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), DOC)
+    pieces = packing.pack(docs).toPandas()
+    at = pieces.groupby("doc_id")["sequence_id"].agg(set)
+    assert sum(bool(at[i] & at[100 + i]) for i in range(40)) >= 36
+    ids = {i: np.frombuffer(b"".join(g.sort_values("start")["ids"]), "<u4") for i, g in pieces.groupby("doc_id")}
+    assert all((ids[i] == ids[100 + i]).all() for i in range(40))
+
+
+def test_packing_counts_all_documents(spark):
+    rows = [(i, x.tobytes()) for i, x in enumerate(np.array(x, np.uint32) for x in ([5, 6, 5, 0], [5, 0], [7, 0], [0]))]
+    tokens = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4), "row long, ids binary")
+    corpus = packing.corpus_of(tokens)
+    assert (corpus.n, corpus.mean, corpus.df.tolist()) == (4, 9 / 4, [4, 0, 0, 0, 0, 2, 1, 1])
+
+
 def test_slow_tokenizer_agrees():
     encode = packing.Encoder(packing.default_tokenizer())
     text = "It's 12,345 words…  \n\n tab\t<|endoftext|> ünï"
