@@ -3,8 +3,8 @@
 A text becomes a sequence of template tokens: words lower-cased (A-Z) and freed of punctuation
 at their ends, with numbers, names and units replaced by typed placeholders. A benchmark item
 leaks into a document when at least CONTAINMENT of the item's distinct windows of WINDOW template
-tokens occur in it and its slots are filled consistently: the same value of the item stands for
-the same value of the document. So a copied question is found as well as one that was given
+tokens occur in it and its slots are filled consistently at some place: the same value of the item
+stands for the same value of the document. So a copied question is found as well as one that was given
 other numbers or names.
 
 The benchmark's windows are the build side of a hash join. They are shipped in blocks of at most
@@ -144,20 +144,52 @@ class Block:
         return sorted(out, key=lambda x: (-x[1], -x[2], x[0]))
 
     def _consistency(self, item: int, t: Template, w: np.ndarray) -> float:
-        """The share of the item's slot fillings that are the usual ones for their value, at the first place of each window."""
-        own, theirs = self.items[item][:2]
-        place = {}
-        for i, h in enumerate(w.tolist()):
-            place.setdefault(h, i)
-        fills: dict[int, dict[int, int]] = defaultdict(lambda: defaultdict(int))
-        size = min(WINDOW, len(own.tokens))
-        for i, h in enumerate(theirs.tolist()):
-            if h and h in place:
-                for k in range(size):
-                    if own.slot[i + k]:
-                        fills[int(own.words[i + k])][int(t.words[place[h] + k])] += 1
-        total = sum(sum(x.values()) for x in fills.values())
-        return sum(max(x.values()) for x in fills.values()) / total if total else 1.0
+        """The share of the item's slot fillings that are the usual ones for their value, where the document fills them best.
+
+        Windows that a document holds more than once are tried at their first places, and for each
+        aligned run (document position minus item position) at the places nearest to it. A run
+        that holds enough windows by itself is judged without those that lie elsewhere.
+        """
+        own, theirs, size = self.items[item]
+        order = np.argsort(w, kind="stable")
+        lo, hi = np.searchsorted(w[order], theirs), np.searchsorted(w[order], theirs, "right")
+        at = np.flatnonzero((hi > lo) & (theirs > 0))
+        lo, n = lo[at], (hi - lo)[at]
+        if (best := self._agreed(own, t, at, order[lo])) == 1 or (n == 1).all() and np.ptp(order[lo] - at) < len(own.tokens):
+            return best
+        end = np.cumsum(n)
+        begin = end - n
+        place = order[np.repeat(lo - begin, n) + np.arange(end[-1])]
+        # one ascending list of all windows' places, each window in a range of its own
+        step = np.int64(2 * (len(w) + len(theirs)) + 1)
+        base = np.arange(len(at)) * step
+        listed = np.repeat(base, n) + place
+        for run in np.unique(place - np.repeat(at, n)).tolist():
+            aim = at + run
+            right = np.clip(np.searchsorted(listed, base + np.clip(aim, 0, len(w))), begin, end - 1)
+            left = np.maximum(right - 1, begin)
+            near = np.where(np.abs(place[left] - aim) <= np.abs(place[right] - aim), place[left], place[right])
+            best = max(best, self._agreed(own, t, at, near))
+            close = np.abs(near - aim) < len(own.tokens)
+            if best < 1 and not close.all() and len(np.unique(theirs[at[close]])) >= CONTAINMENT * size:
+                best = max(best, self._agreed(own, t, at[close], near[close]))
+            if best == 1:
+                break
+        return best
+
+    @staticmethod
+    def _agreed(own: Template, t: Template, at: np.ndarray, place: np.ndarray) -> float:
+        """The share of usual fillings where the item's windows at `at` stand at `place` in the document."""
+        step = np.arange(min(WINDOW, len(own.tokens)))
+        mine, theirs = (at[:, None] + step).ravel(), (place[:, None] + step).ravel()
+        slot = own.slot[mine]
+        if not slot.any():
+            return 1.0
+        value, filling = np.unique(own.words[mine[slot]], return_inverse=True)[1], np.unique(t.words[theirs[slot]], return_inverse=True)[1]
+        pair, n = np.unique(value * (filling.max() + 1) + filling, return_counts=True)
+        usual = np.zeros(value.max() + 1, np.int64)
+        np.maximum.at(usual, pair // (filling.max() + 1), n)
+        return float(usual.sum() / n.sum())
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Block]:

@@ -140,6 +140,19 @@ def test_inconsistent_slots_are_no_leak():
     assert block.match(re.sub("7", "8", item)) and not block.match(other)
 
 
+def test_consistent_slots_at_a_later_place():
+    item = "take 7 red stones and 7 blue stones then add 7 green stones and 7 grey stones to the heap"
+    numbers = iter("11 12 13 14".split())
+    other = re.sub("7", lambda m: next(numbers), item)
+    block = decontaminate.Block([(1, item)])
+    for copy in (item, re.sub("7", "8", item)):
+        for text in (f"{other} and later {copy}", f"{copy} and later {other}", f"{other} {prose(300)} {other} {copy} {other}"):
+            assert block.match(text) == [(1, 1.0, 1.0)]
+    cut = item.rsplit(" ", 2)[0]
+    assert block.match(f"{other} {prose(30)} {cut}")
+    assert not block.match(f"{other} and later {other}")
+
+
 def test_blocks_of_benchmark(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 25)
     items = [prose(20) for _ in range(6)]
