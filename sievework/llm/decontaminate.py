@@ -4,7 +4,9 @@ A text becomes a sequence of template tokens: words lower-cased (A-Z) and freed
 at their ends, with numbers, names and units replaced by typed placeholders. A benchmark item
 leaks into a document when at least CONTAINMENT of the item's distinct windows of WINDOW template
 tokens occur in it and its slots are filled consistently at some place: the same value of the item
-stands for the same value of the document. So a copied question is found as well as one that was given
+stands for the same value of the document. Windows of fewer than MIN_LITERALS words besides
+placeholders are compared by their exact words; an item leaks by its windows without these, or by
+all of them. Items of fewer than WINDOW tokens are one window of their own length. So a copied question is found as well as one that was given
 other numbers or names.
 
 The benchmark's windows are the build side of a hash join. They are shipped in blocks of at most
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from sievework.llm.common import mix64, span_hashes, word_hashes, word_spans
 
 WINDOW, CONTAINMENT, CONSISTENCY = 5, 0.75, 0.75
-#: A window with fewer words besides placeholders says nothing and is left out.
+#: A window with fewer words besides placeholders is compared by its exact words.
 MIN_LITERALS = 2
 BLOCK_WINDOWS = 2_000_000
 #: Units that may follow a number.
@@ -89,34 +91,49 @@ class Template:
             self.tokens = np.where(number, _NUMBER, np.where(name, _NAME, self.words))
             self.tokens[unit] = _UNIT
 
-    def windows(self) -> np.ndarray:
-        """A hash for each window in order, 0 where it has too few words; short texts have one."""
+    def windows(self, size: int | None = None) -> np.ndarray:
+        """A hash for each window of `size` tokens in order; without a size, short texts have one window.
+
+        Odd hashes are those of templates, even ones of the exact words, where a template has too few words.
+        """
         n = len(self.tokens)
-        if not n:
-            return self.tokens
-        size = min(WINDOW, n)
-        with np.errstate(over="ignore"):
-            h = self.tokens[: n - size + 1] * _ODD[0]
-            for i in range(1, size):
-                h = mix64(h) + self.tokens[i : n - size + 1 + i] * _ODD[i]
-            h = mix64(h ^ np.uint64(size)) | np.uint64(1)
+        size = min(WINDOW, n) if size is None else size
+        if not n or size > n:
+            return np.empty(0, np.uint64)
+        at = np.arange(n - size + 1)
         held = np.concatenate([[0], np.cumsum(~self.slot)])
-        return np.where(held[size:] - held[: n - size + 1] >= min(MIN_LITERALS, size), h, np.uint64(0))
+        poor = at[held[size:] - held[: n - size + 1] < min(MIN_LITERALS, size)]
+        h = _chained(self.tokens, at, size) | np.uint64(1)
+        if len(poor):
+            h[poor] = np.maximum(_chained(self.words, poor, size) & ~np.uint64(1), np.uint64(2))
+        return h
+
+
+def _chained(tokens: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the `size` tokens from each place."""
+    with np.errstate(over="ignore"):
+        h = tokens[at] * _ODD[0]
+        for i in range(1, size):
+            h = mix64(h) + tokens[at + i] * _ODD[i]
+        return mix64(h ^ np.uint64(size))
 
 
 class Block:
     """Benchmark items, and their windows sorted by hash."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.items, pairs = {}, []
+        self.items, pairs, sizes = {}, [], set()
         for item, text in items:
             t = Template(text)
             w = t.windows()
-            known = np.unique(w[w > 0])
+            known = np.unique(w)
             if len(known):
-                self.items[item] = (t, w, len(known))
+                # by rule: the windows of templates alone, or all of them
+                self.items[item] = (t, w, (int((known & np.uint64(1)).sum()), len(known)))
                 pairs += [(int(h), item) for h in known]
+                sizes.add(min(WINDOW, len(t.tokens)))
         pairs.sort()
+        self.sizes = sorted(sizes)
         self.hash = np.array([p[0] for p in pairs], np.uint64)
         self.item = np.array([p[1] for p in pairs], np.int64)
 
@@ -125,35 +142,39 @@ class Block:
         if not text or not len(self.hash):
             return []
         t = Template(text)
-        w = t.windows()
+        return sorted((x for size in self.sizes for x in self._match(t, t.windows(size))), key=lambda x: (-x[1], -x[2], x[0]))
+
+    def _match(self, t: Template, w: np.ndarray) -> Iterator[tuple[int, float, float]]:
         known = self.hash[np.minimum(np.searchsorted(self.hash, w), len(self.hash) - 1)] == w
         if not known.any():
-            return []
+            return
         hits = np.unique(w[known])
         lo, hi = np.searchsorted(self.hash, hits), np.searchsorted(self.hash, hits, "right")
-        count: dict[int, int] = defaultdict(int)
-        for x, y in zip(lo, hi, strict=True):
+        count: dict[int, list[int]] = defaultdict(lambda: [0, 0])
+        for h, x, y in zip(hits.tolist(), lo, hi, strict=True):
             for item in self.item[x:y].tolist():
-                count[item] += 1
-        out = []
-        for item, n in count.items():
-            if n < CONTAINMENT * (size := self.items[item][2]):
-                continue
-            if (agreed := self._consistency(item, t, w)) >= CONSISTENCY:
-                out.append((item, n / size, agreed))
-        return sorted(out, key=lambda x: (-x[1], -x[2], x[0]))
-
-    def _consistency(self, item: int, t: Template, w: np.ndarray) -> float:
+                count[item][0] += h & 1
+                count[item][1] += 1
+        for item, found in count.items():
+            sizes, best = self.items[item][2], None
+            for rule, (n, size) in enumerate(zip(found, sizes, strict=True)):
+                if size and n >= CONTAINMENT * size and (not rule or sizes[0] < size) and (agreed := self._consistency(item, t, w, rule)) >= CONSISTENCY:
+                    best = max(best or (0, 0), (n / size, agreed))
+            if best:
+                yield item, *best
+
+    def _consistency(self, item: int, t: Template, w: np.ndarray, rule: int) -> float:
         """The share of the item's slot fillings that are the usual ones for their value, where the document fills them best.
 
         Windows that a document holds more than once are tried at their first places, and for each
         aligned run (document position minus item position) at the places nearest to it. A run
         that holds enough windows by itself is judged without those that lie elsewhere.
         """
-        own, theirs, size = self.items[item]
+        own, theirs, sizes = self.items[item]
+        size = sizes[rule]
         order = np.argsort(w, kind="stable")
         lo, hi = np.searchsorted(w[order], theirs), np.searchsorted(w[order], theirs, "right")
-        at = np.flatnonzero((hi > lo) & (theirs > 0))
+        at = np.flatnonzero((hi > lo) & ((theirs & np.uint64(1) > 0) | (rule > 0)))
         lo, n = lo[at], (hi - lo)[at]
         if (best := self._agreed(own, t, at, order[lo])) == 1 or (n == 1).all() and np.ptp(order[lo] - at) < len(own.tokens):
             return best
@@ -227,7 +248,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """The documents with `leaked_item` (the best match, or null), its `containment` and
     `consistency`, `n_items` (items that leak) and `contaminated`.
 
-    Null and empty texts, and items without a window of enough words, match nothing. Equal rows
+    Null and empty texts, and items without words, match nothing. Equal rows
     get equal results; ties go to the smaller item. Columns of these names are replaced. An empty
     table of documents or of benchmark items gives rows without a match.
     """

@@ -153,6 +153,17 @@ def test_consistent_slots_at_a_later_place():
     assert not block.match(f"{other} and later {other}")
 
 
+def test_items_of_names_and_short_items():
+    block = decontaminate.Block([(1, "Who Wrote The Great Gatsby And When"), (2, "seven grey stones"), (3, "9 8 7 6 5 4 3"), (4, prose(30))])
+    for item, text in ((1, "Who Wrote The Great Gatsby And When"), (2, "seven grey stones"), (3, "9 8 7 6 5 4 3")):
+        for leak in (text, f"so we ask. {text} is what we ask {prose(40)}", f"{prose(40)} {text}", f"{prose(40)}. {text}"):
+            assert [m[0] for m in block.match(leak)] == [item]
+    assert not block.match("Who Met The Old Baker Of York") and not block.match("1 2 3 4 5 6 7") and not block.match("seven stones grey")
+    # slots of poor windows may change where the others are found
+    item = "Tom has 3 4 5 6 7 8 and so he goes with all of them to the old market in town"
+    assert decontaminate.Block([(1, item)]).match(re.sub("[0-9]", lambda m: str(int(m[0]) + 20), item))
+
+
 def test_blocks_of_benchmark(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 25)
     items = [prose(20) for _ in range(6)]
