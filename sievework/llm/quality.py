@@ -6,17 +6,22 @@ labelled rows. In each round each view labels the unlabelled rows that it is sur
 join the other view's training rows. Each view is then calibrated (Platt scaling) on labelled
 rows kept aside, and a regression on the two calibrated log odds scores every document.
 
-Bounds: at most SAMPLE labelled rows of each class and POOL unlabelled rows are used to fit,
-taken by a hash of the id; only their measures go to the driver. All rows are scored, on whole texts.
+All unlabelled rows take part: in each round both views score all of them, the surest TAKE at
+either end are found from counts by log odds, and the views are refitted from sums of gradients
+and Hessians. What a row was labelled follows from the views of the rounds so far, so that
+nothing is kept for it. Bound: at most SAMPLE labelled rows of each class are used to fit, taken
+by a hash of the id; their measures go to the driver. All rows are scored, on whole texts.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +30,11 @@ from sievework.llm.common import span_hashes, word_spans
 from sievework.llm.logistic import Logistic, fit
 from sievework.llm.toxicity import held_out, labelled_sample
 
-SAMPLE, POOL = 6000, 12000
+SAMPLE = 6000
 ROUNDS, TAKE = 5, 0.02
+#: Log odds are counted in bins of 1 / PER_UNIT from -EDGE to EDGE; a label needs a probability beyond 0.9. Pseudo-labels have a weight of their own.
+EDGE, PER_UNIT, SURE, PSEUDO = 30, 100, float(np.log(9)), 0.5
+BINS = 2 * EDGE * PER_UNIT
 LANG_SLOTS, SOURCE_SLOTS = 8, 16
 
 _is = lambda chars: np.isin(np.arange(256), list(chars)).astype(np.uint8)
@@ -81,6 +89,14 @@ def _measure_column(text: Column, lang: Column, source: Column, n_chars: Column)
     return F.pandas_udf(measure, "array<double>")(text, lang, source, n_chars)
 
 
+def _as_bytes(measures: Column) -> Column:
+    def pack(x: pd.Series) -> pd.Series:
+        return pd.Series([np.asarray(row, float).tobytes() for row in x], dtype=object)
+
+    pack.__annotations__ = {"x": pd.Series, "return": pd.Series}
+    return F.pandas_udf(pack, "binary")(measures).alias("x")
+
+
 @dataclass
 class CoTrained:
     """Two views, their calibrations and what combines them."""
@@ -101,27 +117,110 @@ def _split(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[:, :TEXT_SIZE], x[:, TEXT_SIZE:]
 
 
-def co_train(x: np.ndarray, y: np.ndarray, w: np.ndarray, aside: np.ndarray, pool: np.ndarray) -> CoTrained:
-    """Rows x with labels y and weights w, of which `aside` calibrate; pool has unlabelled rows."""
-    own, free = _split(x[~aside]), _split(pool)
-    labels = [y[~aside].astype(float)] * 2
-    weights = [w[~aside]] * 2
-    rows = list(own)
-    left = [np.ones(len(pool), bool) for _ in range(2)]
-    views = [fit(rows[v], labels[v], weights[v]) for v in range(2)]
-    if 0 < y[~aside].mean() < 1:
+class Pool:
+    """All unlabelled rows: measures as bytes, in a table."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+    def total(self, measure: Callable[[np.ndarray], np.ndarray]) -> np.ndarray | None:
+        """The sum of an array over all rows, None without rows; tasks send one array each."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = None
+            for batch in batches:
+                if batch.num_rows:
+                    part = measure(np.frombuffer(b"".join(batch.column(0).to_pylist()), float).reshape(-1, TEXT_SIZE + META_SIZE))
+                    out = part if out is None else out + part
+            if out is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([out.astype(float).tobytes()], pa.binary())], names=["part"])
+
+        parts = [np.frombuffer(r["part"], float) for r in self.rows.mapInArrow(run, "part binary").collect()]
+        return sum(parts[1:], parts[0]) if parts else None
+
+
+#: One round's choice by a view: the view, and the last bin of label 0 and the first one of label 1.
+Choice = tuple[Logistic, int, int]
+
+
+def _bins(view: Logistic, x: np.ndarray) -> np.ndarray:
+    return np.minimum(((np.clip(view.logit(x), -EDGE, EDGE) + EDGE) * PER_UNIT).astype(int), BINS - 1)
+
+
+def _choice(view: Logistic, counts: np.ndarray) -> Choice:
+    """The surest rows: at least TAKE of all at either end, equal ones together, if they are sure enough."""
+    n = int(TAKE * counts.sum())
+    if not n:
+        return view, -1, BINS
+    low = int(np.searchsorted(np.cumsum(counts), n))
+    high = BINS - 1 - int(np.searchsorted(np.cumsum(counts[::-1]), n))
+    return view, min(low, int((EDGE - SURE) * PER_UNIT) - 1), max(high, int((EDGE + SURE) * PER_UNIT) + 1)
+
+
+def _pseudo(choices: list[Choice], x: np.ndarray) -> np.ndarray:
+    """The labels that a view's choices gave to rows, the first one each; -1 for none."""
+    out = np.full(len(x), -1.0)
+    for view, low, high in choices:
+        at = _bins(view, x)
+        out = np.where(out >= 0, out, np.where(at <= low, 0.0, np.where(at >= high, 1.0, -1.0)))
+    return out
+
+
+def _newton(z: np.ndarray, y: np.ndarray, w: np.ndarray | float, b: np.ndarray) -> np.ndarray:
+    """A loss's Hessian and gradient at b, in one array."""
+    p = 1 / (1 + np.exp(-np.clip(z @ b, -30, 30)))
+    h = (z * (w * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ z
+    return np.concatenate([h.ravel(), z.T @ (w * (p - y))])
+
+
+def _refit(views: list[Logistic], rows: list[np.ndarray], y: np.ndarray, w: np.ndarray, pool: Pool, choices: list[list[Choice]], scaling: list[tuple]) -> list[Logistic]:
+    """Both views on labelled rows and on the rows that the other view labelled, by Newton steps from where they were."""
+    widen = lambda v, x: np.column_stack([(x - scaling[v][0]) / scaling[v][1], np.ones(len(x))])
+    b = []
+    for v, (mean, scale) in zip(views, scaling, strict=True):
+        b.append(np.append(v.weights * scale / v.scale, v.bias + (v.weights / v.scale) @ (mean - v.mean)))
+    own = [widen(v, rows[v]) for v in range(2)]
+    for _ in range(30):
+
+        def measure(x: np.ndarray) -> np.ndarray:
+            parts, out = _split(x), []
+            for v in range(2):
+                label = _pseudo(choices[1 - v], parts[1 - v])
+                out.append(_newton(widen(v, parts[v][label >= 0]), label[label >= 0], PSEUDO, b[v]))
+            return np.concatenate(out)
+
+        sums, most, at = pool.total(measure), 0.0, 0
+        for v in range(2):
+            k = len(b[v])
+            both = _newton(own[v], y, w, b[v]) + sums[at : at + k * k + k]
+            at += k * k + k
+            penalty = np.diag([1.0] * (k - 1) + [1e-6])
+            step = np.linalg.solve(both[: k * k].reshape(k, k) + penalty, both[k * k :] + penalty @ b[v])
+            b[v] = b[v] - step * min(1.0, 5 / max(np.abs(step).max(), 1e-12))
+            most = max(most, np.abs(step).max())
+        if most < 1e-5:
+            break
+    return [Logistic(*scaling[v], b[v][:-1], float(b[v][-1])) for v in range(2)]
+
+
+def co_train(x: np.ndarray, y: np.ndarray, w: np.ndarray, aside: np.ndarray, pool: Pool) -> CoTrained:
+    """Rows x with labels y and weights w, of which `aside` calibrate; pool has the unlabelled rows."""
+    own, known = _split(x[~aside]), y[~aside].astype(float)
+    views = [fit(own[v], known, w[~aside]) for v in range(2)]
+    moments = pool.total(lambda m: np.concatenate([[len(m)], m.sum(0), (m * m).sum(0)])) if len(known) and 0 < known.mean() < 1 else None
+    if moments is not None:
+        k = x.shape[1]
+        n = moments[0] + len(known)
+        mean = (moments[1 : k + 1] + x[~aside].sum(0)) / n
+        scale = np.sqrt(np.maximum((moments[k + 1 :] + (x[~aside] ** 2).sum(0)) / n - mean**2, 0))
+        scale = np.where(scale > 1e-6, scale, 1.0)
+        scaling = [(m[0], c[0]) for m, c in zip(_split(mean), _split(scale), strict=True)]
+        choices: list[list[Choice]] = [[], []]
         for _ in range(ROUNDS):
+            counts = pool.total(lambda m, views=views: np.concatenate([np.bincount(_bins(v, part), minlength=BINS) for v, part in zip(views, _split(m), strict=True)]))
             for v in range(2):
-                other = 1 - v
-                p = views[v](free[v])
-                n = int(TAKE * len(pool))
-                order = np.argsort(p, kind="stable")
-                sure = [i for i in (*order[:n], *order[len(order) - n :]) if left[other][i] and abs(p[i] - 0.5) > 0.4]
-                left[other][sure] = False
-                rows[other] = np.concatenate([rows[other], free[other][sure]])
-                labels[other] = np.concatenate([labels[other], (p[sure] > 0.5).astype(float)])
-                weights[other] = np.concatenate([weights[other], np.full(len(sure), 0.5)])
-            views = [fit(rows[v], labels[v], weights[v]) for v in range(2)]
+                choices[v].append(_choice(views[v], counts[v * BINS : (v + 1) * BINS]))
+            views = _refit(views, own, known, w[~aside], pool, choices, scaling)
     held, known = (aside, y[aside]) if aside.any() and 0 < y[aside].mean() < 1 else (~aside, y[~aside])
     parts = _split(x[held])
     odds = [views[v].logit(parts[v])[:, None] for v in range(2)]
@@ -133,19 +232,20 @@ def co_train(x: np.ndarray, y: np.ndarray, w: np.ndarray, aside: np.ndarray, poo
 def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> CoTrained:
     scratch = Scratch(docs.sparkSession, "quality")
     usable = F.lit(True) if usable is None else usable
-    measures = _measure_column(F.col("text"), F.col("lang"), F.col("source"), F.col("n_chars")).alias("x")
+    measures = _measure_column(F.col("text"), F.col("lang"), F.col("source"), F.col("n_chars"))
     wide = docs.select("doc_id", "text", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"))
     known = labelled_sample(wide, labels, "doc_id", "text", "quality", usable, SAMPLE).select("id", "label", "fold", "weight")
     known = scratch.save(known, "known")
+    every = scratch.save(wide.where("doc_id IS NOT NULL").select("doc_id", _as_bytes(measures)), "measures")
     seen = labels.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    pool = wide.select("doc_id").where("doc_id IS NOT NULL").join(seen, "doc_id", "left_anti").orderBy(F.xxhash64("doc_id"), "doc_id").limit(POOL)
-    picked = known.unionByName(pool.select(F.col("doc_id").alias("id"), F.lit(None).cast("int").alias("label"), F.lit(None).cast("long").alias("fold"), F.lit(1.0).alias("weight")).distinct(), allowMissingColumns=True)
-    rows = wide.join(F.broadcast(picked.withColumnRenamed("id", "doc_id")), "doc_id").select("label", "fold", "weight", measures).toPandas()
+    pool = scratch.save(every.join(seen, "doc_id", "left_anti").select("x"), "pool")
+    rows = every.join(F.broadcast(known.withColumnRenamed("id", "doc_id").distinct()), "doc_id").select("label", "fold", "weight", "x").toPandas()
     scratch.drop("known")
-    x = np.array(rows["x"].tolist(), float).reshape(-1, TEXT_SIZE + META_SIZE)
-    labelled = rows["label"].notna().to_numpy()
-    y = rows["label"].fillna(0).to_numpy(int)
-    return co_train(x[labelled], y[labelled], rows["weight"].to_numpy(float)[labelled], (rows["fold"] == 0).to_numpy()[labelled], x[~labelled])
+    scratch.drop("measures")
+    x = np.frombuffer(b"".join(rows["x"]), float).reshape(-1, TEXT_SIZE + META_SIZE)
+    model = co_train(x, rows["label"].to_numpy(int), rows["weight"].to_numpy(float), (rows["fold"] == 0).to_numpy(), Pool(pool))
+    scratch.drop("pool")
+    return model
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> DataFrame:

@@ -429,6 +429,21 @@ def test_quality_learns(spark):
     assert quality.score_quality(d, lab.where("doc_id > 9000")).agg(F.countDistinct(F.round("score", 9))).first()[0] == 1
 
 
+def test_quality_uses_all_unlabelled_rows(spark, monkeypatch):
+    monkeypatch.setattr(quality, "POOL", 10, raising=False)  # the unlabelled rows have no bound
+    r = random.Random(19)
+    docs, labels = [], []
+    for i in range(600):
+        bad, known = i % 2 == 0, i < 200
+        text = " ".join(f"{w}|%" for w in prose(30, r).split()) if bad else prose(40, r) + "."
+        docs.append((i, text, "en", None if known else "bad" if bad else "good", 100))
+        if known:
+            labels.append((i, int(not bad)))
+    model = quality.train(frame(spark, docs, f"{DOC}, lang string, source string, n_chars long").repartition(3), frame(spark, labels, "doc_id long, quality int"))
+    good, bad = (model.views[1].logit(quality.meta_measures("en", source, 100, 0)) for source in ("good", "bad"))
+    assert good > bad + 1
+
+
 # 9: personal data
 
 
