@@ -6,7 +6,11 @@ Over all documents it is counted how many hold a term, an entity, and both toget
 discloses an entity when enough documents show the pair, the entity stands in a large share of
 the term's documents, and far more often than chance would have it:
 
-    n(e, t) >= MIN_DOCS,   n(e, t) / n(t) >= SHARE,   log(N n(e, t) / (n(e) n(t))) >= GAIN
+    n(e, t) >= MIN_DOCS,   n(e, t) / n(t) >= SHARE,
+    gain = log(N n(e, t) / (n(e) n(t))) >= min(GAIN, GAIN_SHARE log(N / n(e))),   n(e, t) gain >= MIN_DOCS GAIN
+
+No gain is above log(N / n(e)), what the entity itself tells, so a frequent entity's terms are held
+against a share of that; their documents together must then say as much as MIN_DOCS with GAIN do.
 
 Every place of such a term, in any document, becomes a span; the sanitised text generalises
 numbers and removes other terms. Counts are combined within batches before they are shuffled.
@@ -29,7 +33,7 @@ from sievework.llm.common import span_hashes, word_spans
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-REACH, MIN_DOCS, SHARE, GAIN = 5, 3, 0.5, 3.0
+REACH, MIN_DOCS, SHARE, GAIN, GAIN_SHARE = 5, 3, 0.5, 3.0, 0.5
 BLOCK_TERMS = 2_000_000
 
 # Each pattern finds what the plain one does: possessive parts and look-behinds only keep it from
@@ -161,7 +165,8 @@ def disclosing_terms(texts: DataFrame) -> DataFrame:
     total = texts.count()
     out = both.join(counts, "term").join(entity, "entity")
     gain = F.log(F.lit(float(total)) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
-    return out.where((F.col("n_both") >= SHARE * F.col("n_term")) & (gain >= GAIN)).select("entity", "term", "n_both", "n_term", "n_entity")
+    enough = (gain >= F.least(F.lit(GAIN), GAIN_SHARE * F.log(F.lit(float(total)) / F.col("n_entity")))) & (F.col("n_both") * gain >= MIN_DOCS * GAIN)
+    return out.where((F.col("n_both") >= SHARE * F.col("n_term")) & enough).select("entity", "term", "n_both", "n_term", "n_entity")
 
 
 def _term_blocks(terms: DataFrame) -> Iterator[np.ndarray]:

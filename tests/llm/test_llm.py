@@ -479,6 +479,14 @@ def test_disclosing_terms(spark):
     assert pii.find_personal_data(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize(("n", "hot"), [(150, 50), (40, 8)])
+def test_terms_of_frequent_entities(spark, n, hot):
+    r = random.Random(22)
+    rows = [(i, f"{prose(20, r)} Zolotov at ana.b@mail.example.com {prose(20, r)}" if i < hot else prose(40, r)) for i in range(n)]
+    found = pii.disclosing_terms(frame(spark, rows).select("text")).collect()
+    assert {f["term"] for f in found} == {int(word_hashes(w).view(np.int64)[0]) for w in (b"zolotov", b"at")}
+
+
 # 10: top k
 
 
