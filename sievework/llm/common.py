@@ -18,9 +18,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column's name as a reference, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def kept(df: DataFrame, *replaced: str) -> list[Column]:
+    """A table's columns but those that are replaced."""
+    return [F.col(quoted(c)) for c in df.columns if c.lower() not in {r.lower() for r in replaced}]
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A name that no column of a table has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def carried(df: DataFrame, *names: str) -> DataFrame:
+    """The named columns, and `carried`, a struct of all columns, for operators that add columns of any name."""
+    return df.select(*(F.col(quoted(n)) for n in names), F.struct(*kept(df)).alias("carried"))
+
+
+def released(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of `like` out of `carried`."""
+    return df.select(*(F.col("carried").getField(c).alias(c) for c in like.columns))
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased, all other characters as they are."""
-    return F.translate(c, ASCII_UPPER, ASCII_UPPER.lower())
+    return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, ASCII_UPPER, ASCII_UPPER.lower()))
 
 
 _B = np.uint64(0x9E3779B97F4A7C15)
