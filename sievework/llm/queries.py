@@ -22,7 +22,7 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256", "n_shared", (F.col("n_shared") > 0).alias("repeats"))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
