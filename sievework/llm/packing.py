@@ -1,19 +1,21 @@
 """Lexical retrieval packing: windows of tokens filled with BM25 neighbours of a seed document.
 
-Token ids are written once. Document frequencies, the number of documents and their mean length
-are counted over all of them. Documents are then range-partitioned and sorted by their KEY_TERMS
-heaviest terms in the whole corpus, so that lexical neighbours and copies come to lie together
-wherever they stood in the input; ties go by the row, so that a hot term is spread. Along that
-order a partition is packed in shards of bounded size. A shard has an inverted index over its
-documents' token ids with the corpus's BM25 weights. Documents become seeds in this order; a seed's full windows come first, and its last, partly filled window takes
-unused documents in the order of their BM25 score for the seed's heaviest terms, cut where the
-window ends. What is left of a cut document is used later. A window that a shard leaves open
-goes on with the next shard's documents; at a partition's end the open window is cut into powers
-of two, so that nothing is padded.
+Token ids are written once, with the document frequencies that each task counts; these, the number
+of documents and their mean length are summed over all of them. Documents are then put in the order
+of their KEY_TERMS heaviest terms in the whole corpus, in range partitions, so that lexical
+neighbours and copies come to lie together wherever they stood in the input; ties go by the row, so
+that a hot term is spread. Along that order a partition is packed in shards of bounded size. A shard
+has an inverted index over its documents' token ids with the corpus's BM25 weights; a query is all
+terms of a seed. Documents become seeds in this order; a seed's full windows come first, and its
+last, partly filled window takes unused documents of the shard in the order of their BM25 score for
+the seed, cut where the window ends. What is left of a cut document is used later. A window that a
+shard leaves open goes on with the next shard's documents; at a partition's end the open window is
+cut into powers of two, so that nothing is padded.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,14 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.scratch import Scratch
+from sievework.llm.common import quoted
 
 WINDOW = 1024
 #: A shard ends at this many tokens or documents: what a task holds at once.
-SHARD_TOKENS, SHARD_DOCS = 1_000_000, 3000
-#: A seed's heaviest terms that are looked up, and BM25's usual constants.
-QUERY_TERMS, K1, B = 12, 1.2, 0.75
-#: As many of a document's heaviest terms decide where it is put.
-KEY_TERMS = 4
+SHARD_TOKENS, SHARD_DOCS = 400_000, 1000
+#: BM25's usual constants, and terms whose weights are multiplied at once.
+K1, B, TERM_BLOCK = 1.2, 0.75, 4096
+#: As many of a document's heaviest terms decide where it is put; one row in SAMPLED tells the bounds of the ranges.
+KEY_TERMS, SAMPLED = 4, 16
 END = 0
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -44,10 +47,11 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """Token ids of texts. The ranks of tiktoken give the ids of the tokenizer file, faster.
+    """Token ids of texts, as the tokenizers library gives them, added tokens in a text included.
 
-    Strings of special tokens are ordinary text. Texts that tiktoken's pattern engine refuses
-    (very long runs of white space) go through the tokenizers library.
+    The ranks of tiktoken give the same ids, faster. The library itself takes files whose added
+    tokens ask for more than their plain string, and texts that tiktoken's pattern engine refuses
+    (very long runs of white space).
     """
 
     def __init__(self, path: str):
@@ -56,18 +60,20 @@ class Encoder:
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            spec = json.load(f)
+        vocab, added = spec["model"]["vocab"], {t["content"]: t for t in spec.get("added_tokens") or []}
         byte_of = _byte_alphabet()
-        ranks = {bytes(byte_of[c] for c in token): rank for token, rank in vocab.items() if all(c in byte_of for c in token)}
-        special = {token for token in vocab if token.startswith("<|") and token.endswith("|>")}
-        for token in special:
-            ranks.pop(token.encode(), None)
-        self.path, self.slow = path, None
-        self.fast = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        ranks = {bytes(byte_of[c] for c in token): rank for token, rank in vocab.items() if token not in added and all(c in byte_of for c in token)}
+        self.path, self.slow, self.fast = path, None, None
+        #: The largest id there is.
+        self.last = max([*vocab.values(), *(t["id"] for t in added.values())])
+        if not any(t[k] for t in added.values() for k in ("lstrip", "rstrip", "single_word", "normalized")):
+            self.fast = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={c: t["id"] for c, t in added.items()})
 
     def __call__(self, text: str) -> np.ndarray:
         try:
-            return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.uint32, copy=False)
+            if self.fast is not None:
+                return self.fast.encode_to_numpy(text, allowed_special="all").astype(np.uint32, copy=False)
         except BaseException as e:  # a panic of the Rust library isn't an Exception
             if isinstance(e, (KeyboardInterrupt, SystemExit)):
                 raise
@@ -75,7 +81,6 @@ class Encoder:
             from tokenizers import Tokenizer
 
             self.slow = Tokenizer.from_file(self.path)
-            self.slow.encode_special_tokens = True
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
@@ -136,27 +141,29 @@ class Index:
         norm = (K1 * (1 - B + B * lengths / corpus.mean)).astype(np.float32)
         weight = np.repeat(idf, df) * tf * (K1 + 1) / (tf + norm[doc])
         self.doc, self.weight, self.begin, self.end, self.n = doc, weight, begin, begin + df, len(docs)
-        row = np.repeat(np.arange(len(begin)), df)
-        # each document's heaviest terms that another document has too
-        useful = np.repeat(df > 1, df)
-        d, w, r = doc[useful], weight[useful], row[useful]
-        order = np.lexsort((-w, d))
-        d, r = d[order], r[order]
-        self.terms, self.term_at = r, np.searchsorted(d, np.arange(len(docs) + 1))
+        self.scores: np.ndarray | None = None
+
+    def _score(self) -> np.ndarray:
+        """The BM25 score of each document for all terms of each one, a block of posting lists at a time."""
+        out = np.zeros((self.n, self.n), np.float32)
+        shared = np.flatnonzero(self.end - self.begin > 1)
+        for at in range(0, len(shared), TERM_BLOCK):
+            terms = shared[at : at + TERM_BLOCK]
+            size = self.end[terms] - self.begin[terms]
+            row = np.repeat(np.arange(len(terms)), size)
+            place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(self.begin[terms], size)
+            has, weight = np.zeros((2, self.n, len(terms)), np.float32)
+            has[self.doc[place], row] = 1
+            weight[self.doc[place], row] = self.weight[place]
+            out += has @ weight.T
+        return out
 
     def neighbours(self, seed: int, left: np.ndarray) -> np.ndarray:
-        """Unused documents that share a heavy term with the seed, best first, ties in order."""
-        score = np.zeros(self.n, np.float32)
-        lo = self.term_at[seed]
-        for r in self.terms[lo : min(lo + QUERY_TERMS, self.term_at[seed + 1])]:
-            span = slice(self.begin[r], self.end[r])
-            score[self.doc[span]] += self.weight[span]
-        found = np.flatnonzero((score > 0) & (left > 0))
-        if len(found) > 256:
-            best = np.argpartition(-score[found], 255)[:256]
-            found = np.concatenate([(b := np.sort(found[best]))[np.argsort(-score[b], kind="stable")], np.setdiff1d(found, found[best])])
-            return found
-        return found[np.argsort(-score[found], kind="stable")]
+        """Unused documents that share a term with the seed, best first, ties in order."""
+        if self.scores is None:
+            self.scores = self._score()
+        found = np.flatnonzero((self.scores[seed] > 0) & (left > 0))
+        return found[np.argsort(-self.scores[seed, found], kind="stable")]
 
 
 class Packer:
@@ -232,47 +239,59 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
 
-_TOKENS = "row long, doc_id long, ids binary"
-_KEYS = ", ".join(f"k{i} long" for i in range(KEY_TERMS))
+_TOKENS = "row long, doc_id long, ids binary, df binary"
+_KEYS = [f"k{i}" for i in range(KEY_TERMS)]
 
 
 def _encoded(path: str):
-    """Rows (doc_id, text) as (row, doc_id, ids): a number of its own for each row, and the ids with END."""
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.binary())])
+    """Rows (doc_id, text) as (row, doc_id, ids): a number of its own for each row, and the ids with END.
+
+    A task's last row has its document frequencies by term, after its documents and its tokens.
+    """
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.binary()), ("df", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, row = None, TaskContext.get().partitionId() << 33
+        encode, row, kind, df, total = None, TaskContext.get().partitionId() << 33, None, None, 0
         for batch in batches:
-            encode = encode or Encoder(path)
-            ids = [(np.append(encode(t), np.uint32(END)) if t else np.array([END], np.uint32)).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(range(row, row + len(ids)), pa.int64()), batch.column(0), pa.array(ids, pa.binary())], schema=schema)
+            if encode is None:
+                encode = Encoder(path)
+                kind, df = _id_type(encode.last), np.zeros(encode.last + 1, np.int64)
+            ids = [np.append(encode(t), np.uint32(END)) if t else np.array([END], np.uint32) for t in batch.column(1).to_pylist()]
+            for x in ids:
+                df[np.unique(x)] += 1
+                total += len(x)
+            yield pa.RecordBatch.from_arrays([pa.array(range(row, row + len(ids)), pa.int64()), batch.column(0), pa.array([x.astype(kind).tobytes() for x in ids], pa.binary()), pa.nulls(len(ids), pa.binary())], schema=schema)
             row += len(ids)
+        if df is not None:
+            n = row - (TaskContext.get().partitionId() << 33)
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([np.concatenate([[n, total], df]).tobytes()], pa.binary())], schema=schema)
 
     return run
 
 
+def _id_type(last: int) -> str:
+    return "<u2" if last < 1 << 16 else "<u4"
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's document frequencies; terms -1 and -2 have its documents and tokens."""
-    df, n, total = np.zeros(0, np.int64), 0, 0
+    """The sum of counts, as rows; terms -2 and -1 have documents and tokens."""
+    total = None
     for batch in batches:
         for raw in batch.column(0).to_pylist():
-            ids = np.frombuffer(raw, "<u4")
-            term = np.unique(ids)
-            if term[-1] >= len(df):
-                df = np.concatenate([df, np.zeros(int(term[-1]) + 1 - len(df), np.int64)])
-            df[term] += 1
-            n, total = n + 1, total + len(ids)
-    term = np.flatnonzero(df)
-    yield pa.RecordBatch.from_arrays([pa.array([-1, -2, *term], pa.int64()), pa.array([n, total, *df[term]], pa.int64())], names=["term", "n"])
-
-
-def corpus_of(tokens: DataFrame) -> Corpus | None:
-    """What BM25 needs to know of all documents; its size is the vocabulary's."""
-    counts = tokens.select("ids").mapInArrow(_counted, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).where("n > 0")
+            part = np.frombuffer(raw, np.int64)
+            total = part.copy() if total is None else total + part
+    if total is not None:
+        term = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(term - 2, pa.int64()), pa.array(total[term], pa.int64())], names=["term", "n"])
+
+
+def corpus_of(counts: DataFrame) -> Corpus | None:
+    """What BM25 needs to know of all documents, from rows (df); its size is the vocabulary's."""
+    counts = counts.mapInArrow(_counted, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     known = {r["term"]: r["n"] for r in counts.toLocalIterator()}
-    if not (n := known.pop(-1, 0)):
+    if not (n := known.pop(-2, 0)):
         return None
-    mean = known.pop(-2) / n
+    mean = known.pop(-1) / n
     df = np.zeros(max(known) + 1, np.int64)
     df[list(known)] = list(known.values())
     return Corpus(n, mean, df)
@@ -282,21 +301,42 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     """One row for each piece of a document, with its token ids (little-endian unsigned 32-bit).
 
     A document's ids are those of its whole text and a final END; a null or empty text has just
-    END. Each id lies in exactly one piece. A sequence holds at most `window` ids; its pieces lie
-    gapless from offset 0. All sequences have `window` ids but those at the end of a partition,
-    which have a power of two. Null ids are kept, equal rows are packed each on its own, an
-    empty table gives an empty table.
+    END. Texts of any length are cut freely; each id lies in exactly one piece. A sequence holds at
+    most `window` ids; its pieces lie gapless from offset 0. All sequences have `window` ids but
+    those at the end of a partition, which have a power of two. Null ids are kept, equal rows are
+    packed each on its own; neighbours of equal score are taken in order. Other columns are left
+    out. An empty table gives an empty table.
     """
-    spark = docs.sparkSession
+    spark, path = docs.sparkSession, tokenizer or default_tokenizer()
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
-    tokens = docs.select(docs[id_col].cast("long"), docs[text_col]).mapInArrow(_encoded(tokenizer or default_tokenizer()), _TOKENS)
-    tokens = Scratch(spark, "packing").save(tokens, "tokens")
-    shipped = spark.sparkContext.broadcast(corpus_of(tokens))
+    kind = _id_type(Encoder(path).last)
+    scratch = Scratch(spark, "packing")
+    tokens = scratch.save(docs.select(F.col(quoted(id_col)).cast("long"), F.col(quoted(text_col))).mapInArrow(_encoded(path), _TOKENS), "tokens")
+    corpus = corpus_of(tokens.where("row IS NULL").select("df"))
+    tokens = tokens.where("row IS NOT NULL").select("row", "doc_id", "ids")
+    shipped = spark.sparkContext.broadcast(corpus)
+    fields, keys_type = "row long, doc_id long, ids binary", ", ".join(f"{k} long" for k in _KEYS)
+
+    def keys_of(batch: pa.RecordBatch) -> np.ndarray:
+        return np.array([shipped.value.key(np.frombuffer(raw, kind)) for raw in batch.column(batch.schema.names.index("ids")).to_pylist()], np.int64).reshape(-1, KEY_TERMS)
+
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, keys_of(batch).T)], names=["row", *_KEYS])
+
+    # the ranges' bounds: a sample's keys, sorted by Spark, the first one of each range
+    order = [*_KEYS, "row"]
+    sample = tokens.where(F.pmod(F.xxhash64("row"), F.lit(SAMPLED)) == 0).select("row", "ids").mapInArrow(sampled, f"row long, {keys_type}")
+    sample = scratch.save(sample, "sample")
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first = sample.repartitionByRange(ranges, *order).groupBy(F.spark_partition_id().alias("part")).agg(F.min(F.struct(*order)).alias("x"))
+    bounds = sorted(tuple(r["x"]) for r in first.collect())[1:]
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = np.array([shipped.value.key(np.frombuffer(raw, "<u4")) for raw in batch.column(2).to_pylist()], np.int64).reshape(-1, KEY_TERMS)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, keys.T)], names=[*batch.schema.names, *(f"k{i}" for i in range(KEY_TERMS))])
+            keys = keys_of(batch)
+            part = [bisect_right(bounds, (*k, row)) for k, row in zip(keys.tolist(), batch.column(0).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, keys.T), pa.array(part, pa.int32())], names=[*batch.schema.names, *_KEYS, "part"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(TaskContext.get().partitionId(), window, shipped.value)
@@ -304,7 +344,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
         for batch in batches:
             for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids.append(doc)
-                held.append(np.frombuffer(raw, "<u4"))
+                held.append(np.frombuffer(raw, kind).astype("<u4"))
                 total += len(held[-1])
                 if total >= SHARD_TOKENS or len(held) >= SHARD_DOCS:
                     for rows in packer.shard(ids, held):
@@ -318,5 +358,5 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
         if rows := packer.finish():
             yield _batch(rows, schema)
 
-    order = [*(f"k{i}" for i in range(KEY_TERMS)), "row"]
-    return tokens.mapInArrow(keyed, f"{_TOKENS}, {_KEYS}").repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids").mapInArrow(run, SCHEMA)
+    dealt = tokens.mapInArrow(keyed, f"{fields}, {keys_type}, part int").repartitionById(len(bounds) + 1, F.col("part"))
+    return dealt.sortWithinPartitions(*order).select("doc_id", "ids").mapInArrow(run, SCHEMA)

@@ -290,7 +290,6 @@ def test_packing_round_trip(spark):
     rows = [(i if i % 9 else None, t) for i, t in enumerate(texts)]
     pieces = packing.pack(frame(spark, rows).coalesce(2)).toPandas()
     tokenizer = Tokenizer.from_file(packing.default_tokenizer())
-    tokenizer.encode_special_tokens = True
     for i, t in rows:
         if i is None:
             continue
@@ -329,10 +328,38 @@ def test_packing_finds_copies_in_other_partitions(spark):
 
 
 def test_packing_counts_all_documents(spark):
-    rows = [(i, x.tobytes()) for i, x in enumerate(np.array(x, np.uint32) for x in ([5, 6, 5, 0], [5, 0], [7, 0], [0]))]
-    tokens = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4), "row long, ids binary")
-    corpus = packing.corpus_of(tokens)
-    assert (corpus.n, corpus.mean, corpus.df.tolist()) == (4, 9 / 4, [4, 0, 0, 0, 0, 2, 1, 1])
+    texts = [(1, "a b a"), (2, "a"), (3, None), (4, "c")]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(texts, 4), DOC)
+    tokens = docs.select("doc_id", "text").mapInArrow(packing._encoded(packing.default_tokenizer()), packing._TOKENS)
+    corpus = packing.corpus_of(tokens.where("row IS NULL").select("df"))
+    ids = [[*packing.Encoder(packing.default_tokenizer())(t or "").tolist(), 0] for _, t in texts]
+    count = Counter(i for x in ids for i in set(x))
+    assert (corpus.n, corpus.mean) == (4, sum(map(len, ids)) / 4)
+    assert {i: int(n) for i, n in enumerate(corpus.df) if n} == count
+
+
+def test_neighbours_are_in_the_order_of_bm25():
+    r = random.Random(61)
+    docs = [np.array([r.randrange(1, 60) for _ in range(r.randrange(1, 80))] + [0], np.uint32) for _ in range(400)]
+    docs[7] = docs[3]
+    index, n, mean = packing.Index(docs), len(docs), np.mean([len(d) for d in docs])
+    counts = [Counter(d.tolist()) for d in docs]
+    df = Counter(t for c in counts for t in c)
+
+    def bm25(seed, d):
+        total = 0.0
+        for t in counts[seed]:
+            tf = counts[d][t]
+            total += np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(docs[d]) / mean))
+        return total
+
+    left = np.array([len(d) for d in docs])
+    left[r.sample(range(400), 50)] = 0
+    for seed in (0, 3, 50, 399):
+        found = index.neighbours(seed, left).tolist()
+        assert sorted(found) == [d for d in range(n) if left[d] and bm25(seed, d) > 0] and len(found) > 256
+        scores = [bm25(seed, d) for d in found]
+        assert all(x >= y - 1e-3 for x, y in zip(scores, scores[1:], strict=False))
 
 
 def test_slow_tokenizer_agrees():
