@@ -34,7 +34,7 @@ SHARD_TOKENS, SHARD_DOCS = 400_000, 1000
 #: BM25's usual constants, and terms whose weights are multiplied at once.
 K1, B, TERM_BLOCK = 1.2, 0.75, 4096
 #: As many of a document's heaviest terms decide where it is put; one row in SAMPLED tells the bounds of the ranges.
-KEY_TERMS, SAMPLED = 4, 16
+KEY_TERMS, SAMPLED = 4, 64
 END = 0
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -327,7 +327,6 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     # the ranges' bounds: a sample's keys, sorted by Spark, the first one of each range
     order = [*_KEYS, "row"]
     sample = tokens.where(F.pmod(F.xxhash64("row"), F.lit(SAMPLED)) == 0).select("row", "ids").mapInArrow(sampled, f"row long, {keys_type}")
-    sample = scratch.save(sample, "sample")
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     first = sample.repartitionByRange(ranges, *order).groupBy(F.spark_partition_id().alias("part")).agg(F.min(F.struct(*order)).alias("x"))
     bounds = sorted(tuple(r["x"]) for r in first.collect())[1:]
