@@ -1,0 +1,30 @@
+"""Joins in which a few keys may hold a large part of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Hot keys there can be at most, and rows that a key has at least to count as hot.
+MOST_HOT, LEAST_ROWS = 10_000, 500
+
+
+def hot_bound(rows: int) -> int:
+    """A key with more rows than this is hot; so there are fewer than MOST_HOT hot keys."""
+    return max(LEAST_ROWS, rows // MOST_HOT)
+
+
+def hot_keys(counts: DataFrame, rows: int) -> DataFrame:
+    """The keys with more than hot_bound of `rows` rows, from one row (key, n) for each; a broadcast of them is bounded."""
+    return counts.where(F.col("n") > hot_bound(rows))
+
+
+def join_narrow(left: DataFrame, right: DataFrame, key: str, rows: int) -> DataFrame:
+    """left joined with right, which is narrow and holds each key once; left, a table, has `rows` rows.
+
+    Hot keys' rows of right are fewer than MOST_HOT and are broadcast; the other keys are joined by a shuffle.
+    """
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    hot = F.broadcast(hot_keys(counts, rows).select(key))
+    near = left.join(hot, key, "left_anti").join(right, key)
+    return near.unionByName(left.join(F.broadcast(right.join(hot, key, "left_semi")), key).select(*near.columns))
