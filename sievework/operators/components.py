@@ -6,21 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.scratch import Scratch
-from sievework.functions.skew import hot_bound
 
 
-def _stars(pairs: DataFrame, scope: DataFrame, edges: int) -> DataFrame:
+def _stars(pairs: DataFrame, scope: DataFrame, scratch: Scratch, name: str, rows: int) -> DataFrame:
     """Link every v of a pair (u, v) to the smallest of u and u's neighbours in scope.
 
-    The minimum is pre-aggregated and joined back. Vertices of high degree, of which there are
-    few by their number of edges, are joined by broadcast, so that no task gathers their rows.
+    The minimum is pre-aggregated, written and joined back: between two plain tables, adaptive
+    execution can split the rows of a vertex of high degree, so that no task gathers them.
     """
-    least = scope.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
-    hot = least.where(F.col("n") > hot_bound(2 * edges)).select("u", F.col("m").alias("hot"))
-    marked = pairs.join(F.broadcast(hot), "u", "left")
-    near = marked.where("hot IS NULL").select("u", "v").join(least, "u").select("v", "m")
-    met = near.unionByName(marked.where("hot IS NOT NULL").select("v", F.col("hot").alias("m")))
-    return met.select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = scope.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    return pairs.join(scratch.save(least, name, rows), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def connected_components(edges: DataFrame, a: str, b: str, scratch: Scratch, label: str = "cc") -> DataFrame:
@@ -37,15 +32,17 @@ def connected_components(edges: DataFrame, a: str, b: str, scratch: Scratch, lab
     while True:
         flipped = e.select(F.col("v").alias("u"), F.col("u").alias("v"))
         both = e.unionByName(flipped)
-        large = _stars(both.where("v > u"), both, n).where("u <> v").distinct()
+        large = _stars(both.where("v > u"), both, scratch, f"{label}-large{k}", 2 * n).where("u <> v").distinct()
         large = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        small = _stars(large, large, n)
+        large = scratch.save(large, f"{label}-pairs{k}", 2 * n)
+        small = _stars(large, large, scratch, f"{label}-small{k}", 2 * n)
         root = large.groupBy("u").agg(F.min("v").alias("v"))
         e2 = small.unionByName(root).where("u <> v").distinct()
         e2 = e2.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         e2 = scratch.save(e2, f"{label}{k + 1}", 2 * n)
         now = e2.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.hash("v", "u"))).first()
-        scratch.drop(f"{label}{k}")
+        for name in (f"{label}{k}", f"{label}-large{k}", f"{label}-pairs{k}", f"{label}-small{k}"):
+            scratch.drop(name)
         e, n, k = e2, now[0], k + 1
         if now == seen:
             break
