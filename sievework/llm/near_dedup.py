@@ -24,6 +24,9 @@ and x is linked with h itself if and only if c(x) <= |h|. So the members with c(
 component, and only the others, the stragglers, are held against the members, by their short
 differences alone. That goes in cells of at most about CELL stragglers and CELL members, as a
 product of matrices, and a cell gives a spanning forest of its links, not the links.
+
+Joins on a leader, a hub or a family have a written table on either side, so that adaptive
+execution can split the rows of a key with many.
 """
 
 from __future__ import annotations
@@ -36,7 +39,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.scratch import Scratch
-from sievework.functions.skew import hot_keys, join_narrow
 from sievework.llm.common import mix64, quoted, word_hashes
 from sievework.operators.components import connected_components
 
@@ -45,8 +47,6 @@ CHUNKS, CHUNK_SIZE, CHUNK_ERRORS = 10, 4, 1
 WORDS_PER_SIGNATURE = CHUNKS * CHUNK_SIZE
 #: Stragglers, and members, in a cell; elements that so many pairs of a cell share are counted by a dense product.
 CELL, FREQUENT = 1500, 64
-#: Sets that are compared with one copy of a leader's or a hub's set.
-FOLLOWERS = 1000
 _ODD = mix64(np.arange(1, 1 + max(SHINGLE, WORDS_PER_SIGNATURE), dtype=np.uint64)) | np.uint64(1)
 
 
@@ -136,18 +136,18 @@ def _common(p: np.ndarray, q: np.ndarray) -> int:
 def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         keep = []
-        for x, y in zip(batch["set"], batch["lead_set"], strict=True):
+        for x, y in zip(batch["set_a"], batch["set_b"], strict=True):
             p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             both = _common(p, q)
             keep.append(100 * both >= 75 * (len(p) + len(q) - both))
-        yield batch.loc[keep, ["first", "rep"]].set_axis(["a", "b"], axis=1)
+        yield batch.loc[keep, ["a", "b"]]
 
 
 def _differences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """What tells each member from its family's hub."""
     for batch in batches:
         rows = []
-        for x, y in zip(batch["set"], batch["lead_set"], strict=True):
+        for x, y in zip(batch["set"], batch["hub_set"], strict=True):
             own, hub = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             a, b = np.setdiff1d(hub, own, assume_unique=True), np.setdiff1d(own, hub, assume_unique=True)
             rows.append((len(hub), 4 * len(a) + 3 * len(b), np.concatenate([b, a]).tobytes()))
@@ -211,21 +211,6 @@ def _with_components(rows: DataFrame, components: DataFrame) -> DataFrame:
     return named.withColumn("component", F.coalesce("component", "rep"))
 
 
-def _with_leaders(pairs: DataFrame, sets: DataFrame, leader: str, copies: DataFrame, rows: int) -> DataFrame:
-    """pairs (leader, rep, set, ...) with `lead_set`, the leader's set.
-
-    copies has (leader, n), where n rows follow it. The set of a leader with many followers is
-    copied, and they are dealt over its copies: there are no more copies than leaders, plus one
-    for FOLLOWERS rows.
-    """
-    hot = F.broadcast(hot_keys(copies, rows).select(leader, F.ceil(F.col("n") / FOLLOWERS).cast("int").alias("parts")))
-    parts = F.coalesce("parts", F.lit(1))
-    dealt = pairs.join(hot, leader, "left").withColumn("part", F.pmod(F.xxhash64("rep"), parts).cast("int")).drop("parts")
-    lead = sets.select(F.col("rep").alias(leader), F.col("set").alias("lead_set")).join(hot, leader, "left")
-    lead = lead.select(leader, "lead_set", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-    return dealt.join(lead, [leader, "part"]).drop("part")
-
-
 def _settle(open_rows: DataFrame, links: DataFrame, sets: DataFrame, scratch: Scratch, n_reps: int) -> DataFrame:
     """The links (a, b) that are missing in buckets (key, first, rep) of several components."""
     families = connected_components(open_rows.where("rep <> first").select("first", "rep"), "first", "rep", scratch, "families")
@@ -234,16 +219,16 @@ def _settle(open_rows: DataFrame, links: DataFrame, sets: DataFrame, scratch: Sc
     degree = ends.groupBy("rep").agg(F.count(F.lit(1)).alias("degree"))
     ranked = families.join(degree, "rep", "left").select("family", "rep", F.coalesce("degree", F.lit(0)).alias("degree"))
     hubs = ranked.groupBy("family").agg(F.max_by("rep", F.struct("degree", -F.col("rep"))).alias("hub"))
-    total = families.count()
-    placed = scratch.save(join_narrow(families, hubs, "family", total).select("family", "hub", "rep"), "placed", total)
-    members = _with_leaders(placed.join(sets, "rep"), sets, "hub", placed.groupBy("hub").agg(F.count(F.lit(1)).alias("n")), total)
-    members = members.select("family", "hub", "rep", "set", "lead_set").mapInPandas(_differences, "family long, hub long, rep long, n_hub long, cost long, diff binary")
+    hubs = scratch.save(hubs, "hubs", n_reps)
+    members = families.join(hubs, "family").join(sets, "rep")
+    members = members.join(sets.select(F.col("rep").alias("hub"), F.col("set").alias("hub_set")), "hub")
+    members = members.select("family", "hub", "rep", "set", "hub_set").mapInPandas(_differences, "family long, hub long, rep long, n_hub long, cost long, diff binary")
     members = scratch.save(members, "members")
     direct = members.where("cost <= n_hub AND rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
 
     strays = members.where("cost > n_hub")
     sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("cost") > F.col("n_hub")).alias("n_stray")).where("n_stray > 0")
-    sizes = scratch.save(sizes, "sizes", total)
+    sizes = scratch.save(sizes, "sizes", n_reps)
     packs = 1 + (sizes.where(F.col("n") <= CELL).agg(F.sum("n")).first()[0] or 0) // CELL
     # small families share a cell with others; large ones are dealt into blocks by a hash
     small = F.col("n") <= CELL
@@ -253,8 +238,8 @@ def _settle(open_rows: DataFrame, links: DataFrame, sets: DataFrame, scratch: Sc
     block = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     fields = ["family", "rep", "cost", "n_hub", "diff"]
-    xs = join_narrow(strays, dealt, "family", total).select("base", block("stray_blocks").alias("i"), every("blocks").alias("j"), F.lit(True).alias("stray"), *fields)
-    ys = join_narrow(members, dealt, "family", total).select("base", every("stray_blocks").alias("i"), block("blocks").alias("j"), F.lit(False).alias("stray"), *fields)
+    xs = strays.join(dealt, "family").select("base", block("stray_blocks").alias("i"), every("blocks").alias("j"), F.lit(True).alias("stray"), *fields)
+    ys = members.join(dealt, "family").select("base", every("stray_blocks").alias("i"), block("blocks").alias("j"), F.lit(False).alias("stray"), *fields)
     found = xs.unionByName(ys).groupBy("base", "i", "j").applyInPandas(_cell, "a long, b long")
     return direct.unionByName(scratch.save(found, "strays"))
 
@@ -285,9 +270,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = scratch.save(sets, "sets")
     led = buckets.where("rep > first").groupBy("rep", "first").agg(F.count(F.lit(1)).alias("n"))
     led = led.groupBy("rep").agg(F.max_by("first", F.struct("n", -F.col("first"))).alias("first"))
-    led = scratch.save(led, "leaders", n_reps)
-    pairs = _with_leaders(led.join(sets, "rep"), sets, "first", led.groupBy("first").agg(F.count(F.lit(1)).alias("n")), n_reps)
-    links = scratch.save(pairs.select("first", "rep", "set", "lead_set").mapInPandas(_confirm, "a long, b long"), "links", n_reps)
+    pairs = led.join(sets, "rep").select(F.col("first").alias("a"), F.col("rep").alias("b"), F.col("set").alias("set_b"))
+    pairs = pairs.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a")), "a")
+    links = scratch.save(pairs.mapInPandas(_confirm, "a long, b long"), "links")
 
     components = scratch.save(connected_components(links, "a", "b", scratch, "led"), "components", n_reps)
     named = _with_components(buckets, components)
