@@ -3,11 +3,13 @@
 A vector's components lie in SLICES lists, one for each slice of the dimensions; a score is the
 sum of the partial scores of the lists.
 
-1. Each block of candidates gives each query the k best of each list, with their full scores. The
-   k-th best of those over all blocks, t, can't exceed the k-th best score there is.
+1. Each block of candidates gives each query the k best entries of each list, by partial score
+   alone. The k best of each list over all blocks, at most SLICES * k rows a query, have their
+   scores resolved; the k-th best of those, t, can't exceed the k-th best score there is.
 2. The cutoff t / SLICES goes to every block. A candidate below it in all lists scores below t,
    so only entries that reach it in some list are collected.
-3. Those entries' scores are resolved exactly, and the k best of each block are merged.
+3. The scores of those, and of no others, are resolved exactly, and the k best of each block are
+   merged.
 
 Queries meet candidates in blocks, as matrix products; scores are sums of integers and exact.
 """
@@ -22,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.scratch import Scratch
+from sievework.llm.common import quoted
 
 SCALE, SLICES = 1024, 4
 QUERY_BLOCK, CANDIDATE_BLOCK = 512, 4096
@@ -87,42 +90,77 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 _CLAMP = lambda x: int(min(max(int(x), -LONG), LONG))
 
 
-def _phase(k: int, last: bool):
-    """last: phases 2 and 3, else phase 1."""
+def _operands(row):
+    """Of a query block that meets a candidate block: query keys, ids and vectors, candidate rows, ids and vectors."""
+    qid, cid = np.frombuffer(row.q_ids, np.int64), np.frombuffer(row.ids, np.int64)
+    return np.frombuffer(row.q_key, np.int64), qid, _matrix(row.q_vectors, len(qid), row.dim), np.frombuffer(row.key, np.int64), cid, _matrix(row.vectors, len(cid), row.dim)
+
+
+def _lists(k: int):
+    """Phase 1: a block's k best entries of each list for each query."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                qid, cid = np.frombuffer(row.q_ids, np.int64), np.frombuffer(row.ids, np.int64)
-                keys = np.frombuffer(row.q_key, np.int64)
-                q, c = _matrix(row.q_vectors, len(qid), row.dim), _matrix(row.vectors, len(cid), row.dim)
-                parts = _partials(q, c)
-                total = sum(parts[1:], parts[0])
-                cutoff = np.frombuffer(row.q_cutoff, np.float64) if last else None
-                out = []
+                keys, qid, q, rows, cid, c = _operands(row)
+                found = [[], [], [], [], []]
+                for n, part in enumerate(_partials(q, c)):
+                    for i in range(len(qid)):
+                        own = np.flatnonzero(cid != qid[i])
+                        best = own[_best(part[i][own], cid[own], k)]
+                        for column, values in zip(found, (np.repeat(keys[i], len(best)), np.repeat(n, len(best)), rows[best], cid[best], part[i][best].astype(float)), strict=True):
+                            column.append(values)
+                yield pd.DataFrame({name: np.concatenate([np.empty(0, kind), *column]).astype(kind) for (name, kind), column in zip(_ENTRY.items(), found, strict=True)})
+
+    return run
+
+
+_ENTRY = {"key": np.int64, "list": np.int32, "row": np.int64, "vec_id": np.int64, "partial": np.float64}
+
+
+def _resolved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The scores of entries whose vectors have been joined to them."""
+    for batch in batches:
+        out = []
+        for q, c in zip(batch["q"], batch["c"], strict=True):
+            q, c = (np.floor(np.asarray(v, np.float64) * SCALE)[None, :] for v in (q, c))
+            if not _exact(q, c):
+                q, c = _integers(q), _integers(c)
+            out.append(float((q @ c.T)[0, 0]))
+        yield pd.DataFrame({"key": batch["key"], "score": out})
+
+
+def _collected(k: int):
+    """Phases 2 and 3: the k best of the entries that reach the cutoff in some list, by their resolved scores."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                keys, qid, q, _, cid, c = _operands(row)
+                cutoff, parts, out = np.frombuffer(row.q_cutoff, np.float64), _partials(q, c), []
+                # a lower cutoff is still safe, so one rounded down stands for t / SLICES
+                uniform = np.nextafter(cutoff / len(parts), -np.inf)[:, None]
+                enough = cid[None, :] != qid[:, None]
+                reached = parts[0] >= uniform
+                for p in parts[1:]:
+                    reached = reached | (p >= uniform)
+                enough &= reached.astype(bool)
                 for i in range(len(qid)):
-                    other = cid != qid[i]
-                    if last:
-                        # a lower cutoff is still safe, so one rounded down stands for t / SLICES
-                        uniform = np.nextafter(cutoff[i] / len(parts), -np.inf)
-                        enough = np.zeros(len(cid), bool)
-                        for p in parts:
-                            enough |= (p[i] >= uniform).astype(bool)
-                        listed = np.flatnonzero(enough & other)
-                    else:
-                        listed = np.unique(np.concatenate([(own := np.flatnonzero(other))[_best(p[i][own], cid[own], k)] for p in parts]))
-                    for j in listed[_best(total[i][listed], cid[listed], k)]:
-                        out.append((int(keys[i]), int(qid[i]), int(cid[j]), _CLAMP(total[i][j])))
+                    listed = np.flatnonzero(enough[i])
+                    total = resolve([p[i] for p in parts], listed)
+                    for j in _best(total, cid[listed], k):
+                        out.append((int(keys[i]), int(qid[i]), int(cid[listed[j]]), _CLAMP(total[j])))
                 yield pd.DataFrame(out, columns=["key", "query_id", "vec_id", "score"])
 
     return run
 
 
-_FOUND = "key long, query_id long, vec_id long, score long"
+def resolve(lists: list[np.ndarray], places: np.ndarray) -> np.ndarray:
+    """The scores at some places: the sums of all lists' partial scores there."""
+    return sum((p[places] for p in lists[1:]), lists[0][places])
 
 
-def _ranked(found: DataFrame) -> DataFrame:
-    return found.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")))
+_FOUND = "key long, query_id long, vec_id long, score long"
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -131,31 +169,38 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
     Components count as floor(1024 * x), x as double. Candidates are all rows but those with the
     query's own id; with fewer than k, all are returned. Ties go to the smaller id. Rows with a
     null id, and vectors that are null, empty or hold null or non-finite components, take no
-    part; vectors of another length than the query's are no candidates. Rows that repeat an id
-    are rows of their own. Scores beyond the range of long stop at its ends. An empty table
-    gives an empty table.
+    part; vectors of another length than the query's are no candidates. Vectors of any length count
+    whole. Rows that repeat an id are rows of their own. Scores beyond the range of long stop at its
+    ends. Other columns are left out. An empty table gives an empty table.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "topk")
-    rows = vectors.where(F.col(id_col).isNotNull() & usable(F.col(vector_col)))
-    rows = rows.select(F.col(id_col).cast("long").alias("id"), F.size(vector_col).alias("dim"), F.transform(vector_col, lambda x: x.cast("double")).alias("vector"), is_query.alias("is_query"))
-    kinds = "dim int, n int, ids binary, vectors binary"
-    blocks = rows.select("id", "dim", "vector").mapInPandas(_blocks(CANDIDATE_BLOCK, []), kinds)
+    key_col, vector = F.col(quoted(id_col)), F.col(quoted(vector_col))
+    rows = vectors.where(key_col.isNotNull() & usable(vector))
+    rows = rows.select(key_col.cast("long").alias("id"), F.size(vector).alias("dim"), F.transform(vector, lambda x: x.cast("double")).alias("vector"), is_query.alias("is_query"))
+    rows = scratch.save(rows.withColumn("key", F.monotonically_increasing_id()), "vectors")
+    kinds = "dim int, n int, ids binary, vectors binary, key binary"
+    blocks = rows.select("id", "dim", "vector", "key").mapInPandas(_blocks(CANDIDATE_BLOCK, ["key"]), kinds)
     blocks = scratch.save(blocks.withColumn("block", F.monotonically_increasing_id()), "candidates")
-    queries = rows.where("is_query").select("id", "dim", "vector").withColumn("key", F.monotonically_increasing_id())
-    queries = scratch.save(queries, "queries")
+    queries = rows.where("is_query").select("id", "dim", "vector", "key")
     # every query block meets every candidate block of its dimension: it goes to all lanes, a candidate block to one
     lanes = max(1, min(blocks.count(), MOST_LANES))
     blocks = blocks.withColumn("lane", F.pmod(F.xxhash64("dim", "block"), F.lit(lanes)))
 
     def met(extra: list[str], source: DataFrame) -> DataFrame:
-        packed = source.repartition("dim", (F.col("key") / QUERY_BLOCK).cast("long")).mapInPandas(_blocks(QUERY_BLOCK, ["key", *extra]), f"{kinds}, " + ", ".join(f"{c} binary" for c in ["key", *extra]))
+        packed = source.repartition("dim", (F.col("key") / QUERY_BLOCK).cast("long")).mapInPandas(_blocks(QUERY_BLOCK, ["key", *extra]), ", ".join([kinds, *(f"{c} binary" for c in extra)]))
         packed = packed.select("dim", *(F.col(c).alias(f"q_{c}") for c in ["ids", "vectors", "key", *extra]), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))).alias("lane"))
-        return packed.join(blocks.select("dim", "lane", "n", "ids", "vectors"), ["dim", "lane"])
-
-    first = met([], queries).mapInPandas(_phase(k, False), _FOUND)
-    bound = _ranked(first).where(F.col("rank") == k).select("key", F.col("score").cast("double").alias("cutoff"))
+        return packed.join(blocks.select("dim", "lane", "n", "ids", "vectors", "key"), ["dim", "lane"])
+
+    entries = met([], queries).mapInPandas(_lists(k), "key long, list int, row long, vec_id long, partial double")
+    place = F.row_number().over(Window.partitionBy("key", "list").orderBy(F.desc("partial"), "vec_id"))
+    entries = entries.withColumn("place", place).where(F.col("place") <= k).select("key", "row").distinct()
+    entries = entries.join(rows.select(F.col("key").alias("row"), F.col("vector").alias("c")), "row").join(queries.select("key", F.col("vector").alias("q")), "key")
+    scores = entries.select("key", "q", "c").mapInPandas(_resolved, "key long, score double")
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score")))
+    bound = scores.withColumn("place", place).where(F.col("place") == k).select("key", F.col("score").alias("cutoff"))
     bound = scratch.save(bound, "cutoffs")
     known = queries.join(bound, "key", "left").withColumn("cutoff", F.coalesce("cutoff", F.lit(float("-inf"))))
-    found = met(["cutoff"], known).mapInPandas(_phase(k, True), _FOUND)
-    return _ranked(found).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    found = met(["cutoff"], known).mapInPandas(_collected(k), _FOUND)
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")))
+    return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from oracle import assert_equal
 from pyspark.sql import functions as F
@@ -532,6 +533,20 @@ def test_top_k_edge_cases(spark, monkeypatch):
     assert topk.top_k(df.where("vec_id > 900"), F.lit(True)).count() == 0
 
 
+def test_top_k_resolves_survivors_alone(monkeypatch):
+    r = np.random.default_rng(5)
+    q, c = np.floor(r.normal(size=(3, 16)) * 1024), np.floor(r.normal(size=(500, 16)) * 1024)
+    c[:20] = q[0] + np.floor(r.normal(size=(20, 16)) * 100)
+    parts, k = topk._partials(q, c), 10
+    t = np.sort((q[:1] @ c.T)[0])[-k]
+    resolved = []
+    monkeypatch.setattr(topk, "resolve", lambda lists, places: resolved.append(len(places)) or sum(p[places] for p in lists))
+    batch = pd.DataFrame([{"dim": 16, "q_ids": np.array([1000]).tobytes(), "q_key": np.array([0]).tobytes(), "q_vectors": q[:1].tobytes(), "q_cutoff": np.array([t]).tobytes(), "key": np.arange(500).tobytes(), "ids": np.arange(500).tobytes(), "vectors": c.tobytes()}])
+    out = next(topk._collected(k)(iter([batch])))
+    assert sorted(out["score"]) == sorted((q[:1] @ c.T)[0])[-k:]
+    assert resolved == [int((np.stack([p[0] for p in parts]) >= t / len(parts)).any(axis=0).sum())] and resolved[0] < 250
+
+
 def test_top_k_beyond_floats(spark):
     rows = [(0, [1e9, 1.0]), (1, [1e9, 3.0]), (2, [1e9, 2.0]), (3, [1e30, 1.0])]
     got = topk.top_k(frame(spark, rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, 3).collect()
