@@ -5,11 +5,12 @@ found in toxic documents far more often than chance. A document's words run thro
 lexicon's trie and a Levenshtein automaton of one error, made deterministic as states come up, so
 misspelled terms are caught in one pass over a word whatever the lexicon's size. Each hit is
 weighed by its context window: inside quotation marks or after a word of reporting it counts
-less, next to an address in the second person more. A logistic regression on those sums, fitted
-on labelled rows that the lexicon was not learned from, gives the score.
+less, next to an address in the second person more. A logistic regression on those sums gives the
+score. It is fitted on labelled rows that its lexicon was not learned from; the lexicon that is used
+is then learned from all of them.
 
-Bounds: at most SAMPLE labelled rows of each class are used to fit, taken by a hash of the id;
-at most TERMS terms are kept. All rows are scored, on their whole texts.
+Bound: at most SAMPLE labelled rows of each class are used to fit, taken by a hash of the id; the
+lexicon has the terms that pass the tests on those. All rows are scored, on their whole texts.
 """
 
 from __future__ import annotations
@@ -25,9 +26,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.scratch import Scratch
+from sievework.llm.common import kept, quoted
 from sievework.llm.logistic import Logistic, fit
 
-SAMPLE, TERMS = 6000, 2000
+SAMPLE = 6000
 #: A term is learned if its likelihood-ratio statistic is at least this, and so much of its weight lies on toxic rows.
 EVIDENCE, PRECISION = 20.0, 0.95
 STEMS = (3, 4, 5, 6, 7, 8)
@@ -184,7 +186,7 @@ def context_weight(text: str, start: int, end: int) -> float:
 
 def terms_of(text: str | None) -> set[str]:
     words = set(_WORD.findall((text or "").lower()))
-    words = {w for w in words if not w.isdigit() and len(w) <= 40}
+    words = {w for w in words if not w.isdigit()}
     return words | {f"^{w[:k]}" for w in words for k in STEMS if len(w) > k}
 
 
@@ -200,8 +202,8 @@ def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def held_out(id_col: Column) -> Column:
-    """Rows whose labels are never learned from."""
-    return F.crc32(id_col.cast("string").cast("binary")) % 4 == 2
+    """Rows whose labels are never learned from; false for a null id, which no label has."""
+    return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, usable: Column, most: int) -> DataFrame:
@@ -210,7 +212,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     weight is the class's number of labelled rows by those taken, so that weighted shares are
     those of all labelled rows. The ids that are taken are bounded by `most`, and are broadcast.
     """
-    clean = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & usable).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
+    key, label = F.col(quoted(id_col)), F.col(quoted(label_col))
+    clean = labels.where(key.isNotNull() & label.isin(0, 1) & usable).select(key.alias("id"), label.cast("int").alias("label"))
     clean = clean.groupBy("id").agg(F.max("label").alias("label"))
     sizes = {r["label"]: r["count"] for r in clean.groupBy("label").count().collect()}
     taken = None
@@ -219,7 +222,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
         taken = part if taken is None else taken.unionByName(part)
     if taken is None:
         taken = clean.withColumn("weight", F.lit(1.0))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(key.alias("id"), F.col(quoted(text_col)).alias("text"))
     return texts.join(F.broadcast(taken), "id").withColumn("fold", F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(3)))
 
 
@@ -235,8 +238,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     base, total = n1 / (n1 + n0), F.col("n1") + F.col("n0")
     log = lambda n, e: F.when(n > 0, n * F.log(n / (total * e))).otherwise(0.0)
     counts = counts.withColumn("odds", F.log(p1 / p0)).withColumn("g2", 2 * (log(F.col("n1"), base) + log(F.col("n0"), 1 - base)))
-    # a stem no better than a longer one, or than a word, adds nothing: keep what covers most
-    best = counts.where((F.col("g2") >= EVIDENCE) & (p1 / (p1 + p0) >= PRECISION)).orderBy(F.desc("g2"), F.length("term"), "term").limit(TERMS)
+    best = counts.where((F.col("g2") >= EVIDENCE) & (p1 / (p1 + p0) >= PRECISION))
     return Lexicon({r["term"]: float(r["odds"]) for r in best.select("term", "odds").collect()})
 
 
@@ -276,6 +278,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pd.DataFrame({"x": x, "label": batch["label"], "weight": batch["weight"]})
 
     rows = sample.where("fold = 0").select("text", "label", "weight").mapInPandas(features, "x array<double>, label int, weight double").toPandas()
+    # the regression is fitted on rows that its lexicon hasn't seen; then every row may add to the lexicon
+    lexicon = learn_lexicon(sample)
     scratch.drop("sample")
     x = np.array(rows["x"].tolist(), float).reshape(-1, len(FEATURES))
     return Scorer(lexicon, fit(x, rows["label"].to_numpy(float), rows["weight"].to_numpy(float)))
@@ -284,11 +288,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, usable: Column | None = None) -> DataFrame:
     """The documents with `score` (0 to 1) and `predicted` (1 if score >= threshold) added.
 
-    Null and empty texts have no hits and get the score of such texts. Labels other than 0 and 1
-    and rows with null ids are not learned from; an id labelled both ways counts as toxic. Equal
-    rows get equal scores; an empty table gives an empty table. Columns of these names are replaced.
+    Null and empty texts have no hits and get the score of such texts; texts of any length are
+    scored whole. Labels other than 0 and 1 and rows with null ids are not learned from; an id
+    labelled both ways counts as toxic. Equal rows get equal scores; of terms that match a word
+    equally well the smaller one counts. An empty table gives an empty table. Other columns stay as
+    they are, but those of the added names, which are replaced.
     """
     scorer = train(docs, labels, id_col, text_col, usable=usable)
-    kept = [c for c in docs.columns if c not in ("score", "predicted")]
-    out = docs.select(*kept, scorer.column(F.col(text_col)).alias("score"))
+    out = docs.select(*kept(docs, "score", "predicted"), scorer.column(F.col(quoted(text_col))).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
