@@ -6,16 +6,21 @@ leaks into a document when at least CONTAINMENT of the item's distinct windows o
 tokens occur in it and its slots are filled consistently at some place: the same value of the item
 stands for the same value of the document. Windows of fewer than MIN_LITERALS words besides
 placeholders are compared by their exact words; an item leaks by its windows without these, or by
-all of them. Items of fewer than WINDOW tokens are one window of their own length. So a copied question is found as well as one that was given
-other numbers or names.
+all of them. Items of fewer than WINDOW tokens are one window of their own length. So a copied
+question is found as well as one that was given other numbers or names.
+
+What is a name shows by its capital, which a copy in capitals, in lower case or at another place of
+a sentence hasn't got or has got anew. So every text is also compared with names as plain words.
 
 The benchmark's windows are the build side of a hash join. They are shipped in blocks of at most
-BLOCK_WINDOWS windows (so that bound holds for a benchmark of any size), and documents stream
-through one probe for each block, without a shuffle.
+BLOCK_WINDOWS windows, and documents stream through a probe without a shuffle. With several blocks
+there is a pass for each, and its result is written before the next block is shipped, so that a
+worker holds one block for a benchmark of any size.
 """
 
 from __future__ import annotations
 
+import copy
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -26,7 +31,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import mix64, span_hashes, word_hashes, word_spans
+from sievework.functions.scratch import Scratch
+from sievework.llm.common import fresh, kept, mix64, quoted, span_hashes, word_hashes, word_spans
 
 WINDOW, CONTAINMENT, CONSISTENCY = 5, 0.75, 0.75
 #: A window with fewer words besides placeholders is compared by its exact words.
@@ -70,6 +76,8 @@ class Template:
                 lo, hi, starts = lo[full], hi[full], starts[full]
         self.words = span_hashes(lower, lo, hi) if len(lo) else np.empty(0, np.uint64)
         self.tokens, self.slot = self.words, np.zeros(len(lo), bool)
+        #: The same text with names as plain words.
+        self.plain = self
         if not len(lo):
             return
         first = a[lo]
@@ -86,6 +94,10 @@ class Template:
         else:
             unit = np.empty(0, np.int64)
         slot[unit] = True
+        if name.any():
+            self.plain = copy.copy(self)
+            self.plain.slot, self.plain.tokens = number.copy(), np.where(number, _NUMBER, self.words)
+            self.plain.slot[unit], self.plain.tokens[unit] = True, _UNIT
         if slot.any():
             self.slot = slot
             self.tokens = np.where(number, _NUMBER, np.where(name, _NAME, self.words))
@@ -119,12 +131,29 @@ def _chained(tokens: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
 
 
 class Block:
-    """Benchmark items, and their windows sorted by hash."""
+    """Benchmark items, to be matched with names as slots and with names as words."""
 
     def __init__(self, items: list[tuple[int, str]]):
+        templates = [(item, Template(text)) for item, text in items]
+        self.parts = [Part(templates), Part([(item, t.plain) for item, t in templates])]
+
+    def match(self, text: str | None) -> list[tuple[int, float, float]]:
+        """(item, containment, consistency) of the items that leak into a text, best first."""
+        if not text:
+            return []
+        t, best = Template(text), {}
+        for part, own in zip(self.parts, (t, t.plain), strict=True):
+            for item, *found in part.match(own):
+                best[item] = max(best.get(item, found), found)
+        return sorted(((item, *found) for item, found in best.items()), key=lambda x: (-x[1], -x[2], x[0]))
+
+
+class Part:
+    """Items' templates, and their windows sorted by hash."""
+
+    def __init__(self, items: list[tuple[int, Template]]):
         self.items, pairs, sizes = {}, [], set()
-        for item, text in items:
-            t = Template(text)
+        for item, t in items:
             w = t.windows()
             known = np.unique(w)
             if len(known):
@@ -137,12 +166,9 @@ class Block:
         self.hash = np.array([p[0] for p in pairs], np.uint64)
         self.item = np.array([p[1] for p in pairs], np.int64)
 
-    def match(self, text: str | None) -> list[tuple[int, float, float]]:
-        """(item, containment, consistency) of the items that leak into a text, best first."""
-        if not text or not len(self.hash):
-            return []
-        t = Template(text)
-        return sorted((x for size in self.sizes for x in self._match(t, t.windows(size))), key=lambda x: (-x[1], -x[2], x[0]))
+    def match(self, t: Template) -> Iterator[tuple[int, float, float]]:
+        for size in self.sizes:
+            yield from self._match(t, t.windows(size))
 
     def _match(self, t: Template, w: np.ndarray) -> Iterator[tuple[int, float, float]]:
         known = self.hash[np.minimum(np.searchsorted(self.hash, w), len(self.hash) - 1)] == w
@@ -216,7 +242,8 @@ class Block:
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Block]:
     """The benchmark in blocks that are bounded by their windows."""
     held, size = [], 0
-    for row in benchmark.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(id_col, text_col).toLocalIterator():
+    item, text = F.col(quoted(id_col)), F.col(quoted(text_col))
+    for row in benchmark.where(item.isNotNull() & text.isNotNull()).select(item, text).toLocalIterator():
         n = len(re.findall(r"\S+", row[1]))
         if held and size + n > BLOCK_WINDOWS:
             yield Block(held)
@@ -248,19 +275,26 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """The documents with `leaked_item` (the best match, or null), its `containment` and
     `consistency`, `n_items` (items that leak) and `contaminated`.
 
-    Null and empty texts, and items without words, match nothing. Equal rows
-    get equal results; ties go to the smaller item. Columns of these names are replaced. An empty
+    Null and empty texts, and items without words, match nothing. Texts of any length are matched
+    whole. Equal rows get equal results; of items that match equally well the smaller one counts.
+    Other columns stay as they are, but those of the added names, which are replaced. An empty
     table of documents or of benchmark items gives rows without a match.
     """
-    found = []
-    for block in _blocks(benchmark, item_id, item_text):
-        found.append(_probe(docs.sparkSession.sparkContext.broadcast(block))(F.col(text_col)))
-    columns = [F.col(c) for c in docs.columns if c not in {"leaked_item", "containment", "consistency", "n_items", "contaminated"}]
+    added = ("leaked_item", "containment", "consistency", "n_items", "contaminated")
+    columns, text = kept(docs, *added), F.col(quoted(text_col))
+    best, n, found = (fresh(docs, x) for x in ("leak_best", "leak_items", "leak_found"))
     none = F.lit(None).cast(f"struct<{_FOUND.replace(' ', ':').replace(',:', ',')}>")
-    out = docs.select(*columns, (F.array(*found) if found else F.array(none)).alias("_found"))
-    best = F.array_max("_found")
-    n = F.aggregate("_found", F.lit(0).cast("long"), lambda x, y: x + F.coalesce(y["n_items"], F.lit(0)))
-    out = out.select(*columns, best.alias("_best"), n.alias("n_items"))
-    return out.select(
-        *columns, (-F.col("_best.rank")).alias("leaked_item"), F.col("_best.containment"), F.col("_best.consistency"), "n_items", (F.col("n_items") > 0).alias("contaminated")
-    )
+    out = docs.select(*kept(docs), none.alias(best), F.lit(0).cast("long").alias(n))
+    scratch, ahead = Scratch(docs.sparkSession, "leaks"), None
+    for k, block in enumerate(_blocks(benchmark, item_id, item_text)):
+        if ahead is not None:  # of several blocks one is held at a time
+            out = scratch.save(out, f"block{k}")
+            ahead.unpersist()
+            if k > 1:
+                scratch.drop(f"block{k - 1}")
+        ahead = docs.sparkSession.sparkContext.broadcast(block)
+        met = out.select("*", _probe(ahead)(text).alias(found))
+        better = F.array_max(F.array(F.col(best), F.col(found)))
+        out = met.select(*kept(docs), better.alias(best), (F.col(n) + F.col(found)["n_items"]).alias(n))
+    hit = F.col(best)
+    return out.select(*columns, (-hit["rank"]).alias("leaked_item"), hit["containment"].alias("containment"), hit["consistency"].alias("consistency"), F.col(n).alias("n_items"), (F.col(n) > 0).alias("contaminated"))

@@ -1,7 +1,9 @@
 """Personal data by patterns, and terms that give it away by corpus co-occurrence.
 
 Base spans come from the patterns of KINDS. For the method's own spans, each mention of a
-protected entity (a value found by a pattern) has the REACH words on either side as its context.
+protected entity has the REACH words on either side as its context. Entities are the values that a
+pattern finds, each for itself, and the classes of values of a kind, so that both what goes with one
+address and what announces addresses is found.
 Over all documents it is counted how many hold a term, an entity, and both together. A term
 discloses an entity when enough documents show the pair, the entity stands in a large share of
 the term's documents, and far more often than chance would have it:
@@ -14,7 +16,8 @@ against a share of that; their documents together must then say as much as MIN_D
 
 Every place of such a term, in any document, becomes a span; the sanitised text generalises
 numbers and removes other terms. Counts are combined within batches before they are shuffled.
-Disclosing terms are shipped to the second pass in blocks of at most BLOCK_TERMS hashes.
+Disclosing terms are shipped to the second pass in blocks of at most BLOCK_TERMS hashes; of several
+blocks each has a pass, whose result is written, so that a worker holds one at a time.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.scratch import Scratch
-from sievework.llm.common import span_hashes, word_spans
+from sievework.llm.common import fresh, kept, quoted, span_hashes, word_spans
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -136,11 +139,11 @@ def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             free = np.flatnonzero(~terms.overlaps(own))
             pairs = set()
             for (kind, a, b), (start, end) in zip(spans, own, strict=True):
-                entity = f"{kind}:{text[a:b].lower()}"
-                pairs.add((entity, 0, True))
+                entities = (f"{kind}:{text[a:b].lower()}", kind)
+                pairs |= {(entity, 0, True) for entity in entities}
                 before = free[: np.searchsorted(terms.hi[free], start, "right")][-REACH:]
                 after = free[np.searchsorted(terms.lo[free], end) :][:REACH]
-                pairs |= {(entity, int(h), False) for h in terms.hash[np.concatenate([before, after])].view(np.int64)}
+                pairs |= {(entity, int(h), False) for h in terms.hash[np.concatenate([before, after])].view(np.int64) for entity in entities}
             rows += pairs
         if rows:
             yield pd.DataFrame(rows, columns=["entity", "term", "alone"])
@@ -227,26 +230,32 @@ def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with `spans`: an array of (kind, start, end), base kinds first as in KINDS,
     then `term`, each by start; code points, end exclusive.
 
-    Null and empty texts have no spans. Each row counts as one document, equal rows each on their
-    own. A table without entities gives base spans only; an empty table gives an empty table. A
-    column `spans` is replaced.
+    Null and empty texts have no spans; texts of any length are searched whole. Each row counts as
+    one document, equal rows each on their own, and get equal spans. A table without entities gives
+    base spans only; an empty table gives an empty table. Other columns stay as they are, but a
+    column `spans`, which is replaced.
     """
-    texts = docs.select(F.col(text_col).alias("text"))
-    found = [_base_column(F.col(text_col))]
-    terms = Scratch(docs.sparkSession, "pii-terms").save(disclosing_terms(texts), "terms")
-    for block in _term_blocks(terms):
-        found.append(_term_column(docs.sparkSession.sparkContext.broadcast(block), F.col(text_col)))
-    kept = [F.col(c) for c in docs.columns if c != "spans"]
-    parts = docs.select(*kept, *(c.alias(f"_spans{i}") for i, c in enumerate(found)))
-    spans = [_parsed(F.col(f"_spans{i}")) for i in range(len(found))]
-    if len(spans) > 1:
-        spans[0] = F.concat(spans[0], F.array_sort(F.concat(*spans[1:])))
-    return parts.select(*kept, spans[0].alias("spans"))
+    spark, text = docs.sparkSession, F.col(quoted(text_col))
+    scratch = Scratch(spark, "pii-terms")
+    terms = scratch.save(disclosing_terms(docs.select(text.alias("text"))), "terms")
+    base, more = (fresh(docs, x) for x in ("pii_base", "pii_terms"))
+    out = docs.select(*kept(docs), _parsed(_base_column(text)).alias(base), F.array().cast(_SPANS).alias(more))
+    ahead = None
+    for k, block in enumerate(_term_blocks(terms)):
+        if ahead is not None:
+            out = scratch.save(out, f"block{k}")
+            ahead.unpersist()
+            if k > 1:
+                scratch.drop(f"block{k - 1}")
+        ahead = spark.sparkContext.broadcast(block)
+        out = out.select(*kept(docs), base, F.concat(more, _parsed(_term_column(ahead, text))).alias(more))
+    return out.select(*kept(docs, "spans"), F.concat(base, F.array_sort(more)).alias("spans"))
 
 
 def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with `spans` and `sanitised`: base spans become [EMAIL] and the like, numbers
-    among the disclosing terms are generalised to [NUMBER], other terms are removed."""
+    among the disclosing terms are generalised to [NUMBER], other terms to [REMOVED]. Null texts
+    stay null; columns of these names are replaced."""
 
     def rewrite(texts: pd.Series, spans: pd.Series) -> pd.Series:
         out = []
@@ -267,4 +276,5 @@ def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     rewrite.__annotations__ = {"texts": pd.Series, "spans": pd.Series, "return": pd.Series}
     listed = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    return find_personal_data(docs, text_col).withColumn("sanitised", F.pandas_udf(rewrite, "string")(F.col(text_col), listed))
+    found = find_personal_data(docs, text_col)
+    return found.select(*kept(found, "sanitised"), F.pandas_udf(rewrite, "string")(F.col(quoted(text_col)), listed).alias("sanitised"))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.scratch import Scratch
-from sievework.llm.common import span_hashes, word_spans
+from sievework.llm.common import fresh, kept, span_hashes, word_spans
 from sievework.llm.logistic import Logistic, fit
 from sievework.llm.toxicity import held_out, labelled_sample
 
@@ -207,7 +207,7 @@ def co_train(x: np.ndarray, y: np.ndarray, w: np.ndarray, aside: np.ndarray, poo
     """Rows x with labels y and weights w, of which `aside` calibrate; pool has the unlabelled rows."""
     own, known = _split(x[~aside]), y[~aside].astype(float)
     views = [fit(own[v], known, w[~aside]) for v in range(2)]
-    moments = pool.total(lambda m: np.concatenate([[len(m)], m.sum(0), (m * m).sum(0)])) if len(known) and 0 < known.mean() < 1 else None
+    moments = pool.total(lambda m: np.concatenate([[len(m)], m.sum(0), (m * m).sum(0)])) if len(np.unique(known)) > 1 else None
     if moments is not None:
         k = x.shape[1]
         n = moments[0] + len(known)
@@ -221,7 +221,7 @@ def co_train(x: np.ndarray, y: np.ndarray, w: np.ndarray, aside: np.ndarray, poo
             for v in range(2):
                 choices[v].append(_choice(views[v], counts[v * BINS : (v + 1) * BINS]))
             views = _refit(views, own, known, w[~aside], pool, choices, scaling)
-    held, known = (aside, y[aside]) if aside.any() and 0 < y[aside].mean() < 1 else (~aside, y[~aside])
+    held, known = (aside, y[aside]) if len(np.unique(y[aside])) > 1 else (~aside, y[~aside])
     parts = _split(x[held])
     odds = [views[v].logit(parts[v])[:, None] for v in range(2)]
     calibrations = [fit(o, known.astype(float), w[held]) for o in odds]
@@ -252,10 +252,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, usable: Column | None = No
     """The documents with `text_score`, `meta_score` and `score` (0 to 1, higher is better).
 
     docs has doc_id, text, lang, source and n_chars. Null and empty texts have zero measures,
-    null metadata has no slot. Labels other than 0 and 1 and rows with null ids are not learned
-    from. Without labels of both classes the scores are the labels' share, kept off 0 and 1.
-    Equal rows get equal scores; an empty table gives an empty table. Columns of these names are
-    replaced.
+    null metadata has no slot; texts of any length are measured whole. Labels other than 0 and 1 and
+    rows with null ids are not learned from. Without labels of both classes the scores are the
+    labels' share, kept off 0 and 1. Equal rows get equal scores, and are equal votes where they are
+    unlabelled; an empty table gives an empty table. Other columns stay as they are, but those of
+    the added names, which are replaced.
     """
     model = train(docs, labels, usable)
     names = ["text_score", "meta_score", "score"]
@@ -264,10 +265,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, usable: Column | None = No
         return pd.DataFrame(model(np.array(x.tolist(), float)) if len(x) else np.zeros((0, 3)), columns=names)
 
     score.__annotations__ = {"x": pd.Series, "return": pd.DataFrame}
-    kept = [F.col(c) for c in docs.columns if c not in names]
     measures = _measure_column(F.col("text"), F.col("lang"), F.col("source"), F.col("n_chars").cast("double"))
-    out = docs.select(*kept, F.pandas_udf(score, ", ".join(f"{n} double" for n in names))(measures).alias("_s"))
-    return out.select(*kept, *(F.col(f"_s.{n}") for n in names))
+    scores = fresh(docs, "scores")
+    out = docs.select(*kept(docs, *names), F.pandas_udf(score, ", ".join(f"{n} double" for n in names))(measures).alias(scores))
+    return out.select(*kept(docs, *names), *(F.col(scores)[n].alias(n) for n in names))
 
 
 __all__ = ["co_train", "held_out", "meta_measures", "score_quality", "text_measures", "train"]
