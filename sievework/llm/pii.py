@@ -1,6 +1,7 @@
 """Personal data by patterns, and terms that give it away by corpus co-occurrence.
 
-Base spans come from the patterns of KINDS. For the method's own spans, each mention of a
+Base spans come from the patterns of KINDS. Strings that tell much by themselves, long words in
+which letters and digits alternate as in keys and tokens, are `secret`. For the method's own spans, each mention of a
 protected entity has the REACH words on either side as its context. Entities are the values that a
 pattern finds, each for itself, and the classes of values of a kind, so that both what goes with one
 address and what announces addresses is found.
@@ -35,7 +36,9 @@ from sievework.functions.scratch import Scratch
 from sievework.llm.common import fresh, kept, quoted, span_hashes, word_spans
 
 KINDS = ("email", "ip", "card", "phone")
-TERM = "term"
+SECRET, TERM = "secret", "term"
+#: A secret's characters, and changes between letters and digits, at least.
+SECRET_SIZE, SECRET_CHANGES = 20, 6
 REACH, MIN_DOCS, SHARE, GAIN, GAIN_SHARE = 5, 3, 0.5, 3.0, 0.5
 BLOCK_TERMS = 2_000_000
 
@@ -93,6 +96,23 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+_MIXED = re.compile(r"[0-9][A-Za-z]")
+_LONG = re.compile(r"[A-Za-z0-9_/+=-]{%d,}+" % SECRET_SIZE)
+_CHANGE = re.compile(r"[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])")
+
+
+def secret_spans(text: str) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of the long words in which letters and digits alternate."""
+    if not _MIXED.search(text):
+        return []
+    return [(SECRET, *m.span()) for m in _LONG.finditer(text) if len(_CHANGE.findall(m[0])) >= SECRET_CHANGES]
+
+
+def own_spans(text: str) -> list[tuple[str, int, int]]:
+    """What is found in a text by itself: base spans, then secrets."""
+    return base_spans(text) + secret_spans(text)
+
+
 _PUNCT = np.isin(np.arange(256), list(rb".,;:!?\"'()[]{}<>*_|&%$#"))
 
 
@@ -132,7 +152,7 @@ def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for text in batch["text"]:
-            if not text or not (spans := base_spans(text)):
+            if not text or not (spans := own_spans(text)):
                 continue
             terms = Terms(text.encode("utf-8", "surrogatepass"))
             own = _byte_spans(text, spans)
@@ -198,14 +218,14 @@ def _parsed(listed: Column) -> Column:
 
 def _base_column(text: Column) -> Column:
     def find(texts: pd.Series) -> pd.Series:
-        return pd.Series([_listed(base_spans(t)) if t else "" for t in texts], dtype=object)
+        return pd.Series([_listed(own_spans(t)) if t else "" for t in texts], dtype=object)
 
     find.__annotations__ = {"texts": pd.Series, "return": pd.Series}
     return F.pandas_udf(find, "string")(text)
 
 
 def _term_column(shipped: Broadcast, text: Column) -> Column:
-    """The places of one block's terms that no base span covers."""
+    """The places of one block's terms that no other span covers."""
 
     def find(texts: pd.Series) -> pd.Series:
         out = []
@@ -216,7 +236,7 @@ def _term_column(shipped: Broadcast, text: Column) -> Column:
                 known = shipped.value
                 hit = known[np.minimum(np.searchsorted(known, t.hash), len(known) - 1)] == t.hash
                 if hit.any():
-                    hit &= ~t.overlaps(_byte_spans(text, base_spans(text)))
+                    hit &= ~t.overlaps(_byte_spans(text, own_spans(text)))
                     at = np.concatenate([[0], np.cumsum((np.frombuffer(t.raw, np.uint8) & 0xC0) != 0x80)])
                     found = [(TERM, int(a), int(b)) for a, b in zip(at[t.lo[hit]], at[t.hi[hit]], strict=True)]
             out.append(_listed(found))
@@ -228,7 +248,7 @@ def _term_column(shipped: Broadcast, text: Column) -> Column:
 
 def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with `spans`: an array of (kind, start, end), base kinds first as in KINDS,
-    then `term`, each by start; code points, end exclusive.
+    then `secret` and `term`, each by start; code points, end exclusive.
 
     Null and empty texts have no spans; texts of any length are searched whole. Each row counts as
     one document, equal rows each on their own, and get equal spans. A table without entities gives
@@ -253,7 +273,7 @@ def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents with `spans` and `sanitised`: base spans become [EMAIL] and the like, numbers
+    """The documents with `spans` and `sanitised`: base spans and secrets become [EMAIL] and the like, numbers
     among the disclosing terms are generalised to [NUMBER], other terms to [REMOVED]. Null texts
     stay null; columns of these names are replaced."""
 

@@ -44,7 +44,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    base = F.filter("spans", lambda s: s["kind"] != pii.TERM)
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.KINDS))
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select(
@@ -52,6 +52,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *map(count, pii.KINDS),
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
+        count(pii.SECRET),
         count(pii.TERM),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2(F.col("sanitised").cast("binary"), 256).alias("sanitised_sha256"),
