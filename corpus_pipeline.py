@@ -13,33 +13,35 @@ from pyspark.sql import functions as F
 
 from sievework.functions.scratch import Scratch
 from sievework.llm import decontaminate, line_dedup, near_dedup, packing, toxicity
-from sievework.llm.common import table
+from sievework.llm.common import carried, released, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity score rejects go."""
     usable = ~toxicity.held_out(F.col("doc_id"))
-    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), usable=usable)
-    return scored.where("predicted = 0").select(*docs.columns)
+    scored = toxicity.score_toxicity(carried(docs, "doc_id", "text"), table(spark, sf_dir, "labels"), usable=usable)
+    return released(scored.where("predicted = 0"), docs)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays, without the lines that larger ids repeat; n_chars is counted anew."""
-    out = line_dedup.dedup_lines(docs).withColumn("text", F.col("kept_text")).withColumn("n_chars", F.char_length("text").cast("long"))
-    return out.select(*docs.columns)
+    """Every document stays, without the lines that larger ids repeat; its size is counted anew where there is an n_chars."""
+    out = line_dedup.dedup_lines(carried(docs, "doc_id", "text"))
+    new = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast(dict(docs.dtypes).get("n_chars", "long"))}
+    changed = [c for c in docs.columns if c in new]
+    return out.select(*((new[c] if c in changed else F.col("carried").getField(c)).alias(c) for c in docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
+    """Of each group of near duplicates the document with the smallest id stays; documents without an id do."""
     classes = near_dedup.near_duplicates(docs)
     gone = classes.where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return released(carried(docs, "doc_id").join(gone.hint("shuffle_hash"), "doc_id", "left_anti"), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return found.where("not contaminated").select(*docs.columns)
+    found = decontaminate.decontaminate(carried(docs, "text"), table(spark, sf_dir, "benchmark"))
+    return released(found.where("not contaminated"), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
