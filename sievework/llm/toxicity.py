@@ -29,7 +29,7 @@ from sievework.functions.scratch import Scratch
 from sievework.llm.common import kept, quoted
 from sievework.llm.logistic import Logistic, fit
 
-SAMPLE = 6000
+SAMPLE, NOTHING_KNOWN = 6000, 0.01
 #: A term is learned if its likelihood-ratio statistic is at least this, and so much of its weight lies on toxic rows.
 EVIDENCE, PRECISION = 20.0, 0.95
 STEMS = (3, 4, 5, 6, 7, 8)
@@ -264,7 +264,8 @@ class Scorer:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", usable: Column | None = None) -> Scorer:
     """Fit a scorer on labelled rows for which `usable` holds (all, if it is None).
 
-    Without rows of both classes the score is the share of toxic labels, kept off 0 and 1.
+    Without rows of both classes the score is the share of toxic labels, kept off 0 and 1; without
+    any row it is NOTHING_KNOWN, so that nothing is rejected.
     """
     scratch = Scratch(docs.sparkSession, "toxicity")
     usable = F.lit(True) if usable is None else usable
@@ -282,6 +283,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     lexicon = learn_lexicon(sample)
     scratch.drop("sample")
     x = np.array(rows["x"].tolist(), float).reshape(-1, len(FEATURES))
+    if not len(x):
+        k = len(FEATURES)
+        return Scorer(lexicon, Logistic(np.zeros(k), np.ones(k), np.zeros(k), float(np.log(NOTHING_KNOWN / (1 - NOTHING_KNOWN)))))
     return Scorer(lexicon, fit(x, rows["label"].to_numpy(float), rows["weight"].to_numpy(float)))
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -165,6 +166,48 @@ def test_items_of_names_and_short_items():
     assert decontaminate.Block([(1, item)]).match(re.sub("[0-9]", lambda m: str(int(m[0]) + 20), item))
 
 
+def test_copies_in_any_case():
+    item = "Anna has 3 cats"
+    block = decontaminate.Block([(1, item), (2, QUESTION)])
+    for text in (f"x {item} y", f"X {item.upper()} Y", item.lower(), f"and so {item}.", f"{item}. More"):
+        assert [m[0] for m in block.match(text)] == [1], text
+    for text in (QUESTION.upper(), QUESTION.title(), QUESTION.lower(), f"{prose(20)} {QUESTION.upper()} {prose(20)}"):
+        assert [m[0] for m in block.match(text)] == [2], text
+    assert not block.match(prose(300)) and not block.match(prose(300).upper())
+
+
+def brute_leaks(item, text):
+    """Whether some run of a text's words is the item, but for numbers that are replaced alike (no names, units or punctuation)."""
+    i, t = item.lower().split(), text.lower().split()
+    for at in range(len(t) - len(i) + 1):
+        told = {}
+        if all(told.setdefault(x, y) == y if x.isdigit() and y.isdigit() else x == y for x, y in zip(i, t[at : at + len(i)], strict=True)):
+            return True
+    return False
+
+
+def test_leaks_equal_brute_force():
+    r = random.Random(29)
+    words = VOCABULARY[:60]
+    item = lambda: " ".join(r.choice("3 4 5 6".split()) if r.random() < 0.2 else r.choice(words) for _ in range(r.randrange(12, 25)))
+    items = [(k, item()) for k in range(20)]
+    block = decontaminate.Block(items)
+    for _ in range(150):
+        k, own = r.choice(items)
+        kind = r.randrange(3)
+        if kind == 0:  # renumbered alike
+            new = {d: str(n) for d, n in zip("3456", r.sample(range(10, 99), 4), strict=True)}
+            own = " ".join(new.get(w, w) for w in own.split())
+        elif kind == 1:  # other words
+            own = " ".join(r.choice(words) if r.random() < 0.5 else w for w in own.split())
+        text = f"{prose(r.randrange(30), r)} {own} {prose(r.randrange(30), r)}"
+        expected = {i for i, x in items if brute_leaks(x, text)}
+        assert expected <= {m[0] for m in block.match(text)} and (expected or kind == 1)
+        if kind == 1 and not expected:
+            shared = lambda x: len({tuple(x.split()[n : n + 5]) for n in range(len(x.split()) - 4)} & {tuple(text.split()[n : n + 5]) for n in range(len(text.split()) - 4)})
+            assert all(shared(items[m[0]][1]) for m in block.match(text))
+
+
 def test_blocks_of_benchmark(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 25)
     items = [prose(20) for _ in range(6)]
@@ -251,6 +294,27 @@ def test_passages_edge_cases(spark):
     assert sorted((g["doc_id"] or 0, g["n_removed"]) for g in got) == [(0, 500), (3, 0), (3, 500)]
 
 
+def test_shared_runs(spark):
+    r = random.Random(41)
+    passage = prose(51, r)
+    texts = [f"{prose(30, r)} {passage} {prose(40, r)}" for _ in range(4)] + [prose(200, r), prose(20, r), f"{prose(60, r)} {' '.join(passage.split()[:40])} {prose(60, r)}", None, "", passage]
+    got = {g["doc_id"]: g["n_shared"] for g in suffix_dedup.repeated_passages(frame(spark, list(enumerate(texts)))).collect()}
+    assert {k for k, n in got.items() if n} == {0, 1, 2, 3, 9}
+
+
+def test_windows_are_compared_by_bytes():
+    texts = {0: b"a" * 500, 1: b"b" * 450, 2: b"xa" + b"a" * 400}
+    piece, inner = np.array([0, 0, 1, 2, 2]), np.array([0, 1, 0, 1, 2])
+    h = np.zeros(5, np.uint64)  # one hash for all
+    assert suffix_dedup._equal_windows(h, piece, inner, texts).tolist() == [True, True, False, True, True]
+
+
+def test_another_order_is_an_error():
+    row = lambda mark, text: pd.Series({"block": 0, "ids": [1], "sizes": [len(text)], "text": suffix_dedup._packed([text]), "mark": mark, "names": [{"bucket": 0, "names": b""}]})
+    with pytest.raises(RuntimeError, match="another order"):
+        suffix_dedup._block_suffixes(row(1, b"x" * 500), 16, 16)
+
+
 # 5: lines
 
 
@@ -507,6 +571,36 @@ def test_disclosing_terms(spark):
     assert pii.find_personal_data(frame(spark, [])).count() == 0
 
 
+def test_term_counts_equal_brute_force(spark):
+    r = random.Random(27)
+    mails = ["ana.b@mail.example.com", "info@shop.example.org"]
+    rows = [(i, " ".join(r.choice([*VOCABULARY[:30], mails[0], mails[1], "near", "Beside"]) if r.random() < 0.4 else r.choice(VOCABULARY) for _ in range(40))) for i in range(120)]
+    both, alone, holds = Counter(), Counter(), Counter()
+    for _, text in rows:
+        words = text.split()
+        at = [i for i, w in enumerate(words) if "@" in w]
+        free = [i for i, w in enumerate(words) if "@" not in w]
+        pairs = set()
+        for i in at:
+            near = [k for k in free if k < i][-pii.REACH :] + [k for k in free if k > i][: pii.REACH]
+            pairs |= {(e, words[k].lower()) for e in (f"email:{words[i]}", "email") for k in near}
+        both.update(pairs)
+        alone.update({f"email:{words[i]}" for i in at} | ({"email"} if at else set()))
+        holds.update({words[k].lower() for k in free})
+    n, expected = len(rows), set()
+    for (e, t), x in both.items():
+        gain = np.log(n * x / (alone[e] * holds[t]))
+        if x >= pii.MIN_DOCS and x >= pii.SHARE * holds[t] and gain >= min(pii.GAIN, pii.GAIN_SHARE * np.log(n / alone[e])) and x * gain >= pii.MIN_DOCS * pii.GAIN:
+            expected.add((e, int(word_hashes(t.encode()).view(np.int64)[0]), x, holds[t], alone[e]))
+    got = {tuple(g) for g in pii.disclosing_terms(frame(spark, rows).select("text")).collect()}
+    assert got == expected
+
+
+def test_secrets():
+    text = 'x token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa 12345678901234567890123'
+    assert [text[a:b] for _, a, b in pii.secret_spans(text)] == ["04dbebab91ab85687d33eeaaf9ac699e1188f962"]
+
+
 @pytest.mark.parametrize(("n", "hot"), [(150, 50), (40, 8)])
 def test_terms_of_frequent_entities(spark, n, hot):
     r = random.Random(22)
@@ -556,9 +650,87 @@ def test_top_k_beyond_floats(spark):
     assert [(g["score"], -g["vec_id"]) for g in sorted(got, key=lambda g: g["rank"])] == expected
 
 
+# columns of any name
+
+INNER = (
+    "score predicted kept_text n_lines n_dropped lines_id lines_version lines_words leaked_item containment consistency n_items contaminated leak_best leak_items leak_found "
+    "spans pii_base pii_terms sanitised text_score meta_score scores carried id rep key block part row h1 h2 pos line slice n_shared component_id rank embedding ids _s _found _best _words _bid a.b a`b"
+).split()
+
+
+def crowded(spark, rows, schema, *own):
+    """Rows with extra columns of all names that the operators add or use inside."""
+    df = frame(spark, rows, schema)
+    return df.select("*", *(F.lit(f"mine {n}").alias(n) for n in INNER if n not in own))
+
+
+ADDED = {
+    "toxicity": (lambda d, lab: toxicity.score_toxicity(d, lab), {"score", "predicted"}),
+    "quality": (lambda d, lab: quality.score_quality(d, lab.withColumnRenamed("toxic", "quality")), {"score", "text_score", "meta_score"}),
+    "lines": (lambda d, lab: line_dedup.dedup_lines(d), {"kept_text", "n_lines", "n_dropped"}),
+    "leaks": (lambda d, lab: decontaminate.decontaminate(d, lab.select(F.col("doc_id").alias("item_id"), F.lit("a b c d e f g").alias("text"))), {"leaked_item", "containment", "consistency", "n_items", "contaminated"}),
+    "personal": (lambda d, lab: pii.sanitise(d), {"spans", "sanitised"}),
+}
+ODD_ROWS = [(1, "one line that is long enough\na b c d e f g", "en", "s", 9), (2, None, None, None, None), (None, "", "en", None, 0), (4, "ONE LINE THAT IS LONG ENOUGH", "de", "s", 5), (4, "one line that is long enough", "de", "s", 5), (4, "one line that is long enough", "de", "s", 5), (6, "one line that is long enough a.b@c.de", "x", "y", 1)]
+ODD_SCHEMA = f"{DOC}, lang string, source string, n_chars long"
+
+
+@pytest.mark.parametrize("name", sorted(ADDED))
+def test_columns_of_any_name(spark, name):
+    operate, added = ADDED[name]
+    labels = frame(spark, [(1, 0), (4, 1), (None, 1), (6, 0)], "doc_id long, toxic int")
+    docs = crowded(spark, ODD_ROWS, ODD_SCHEMA)
+    out = operate(docs, labels)
+    got = out.toPandas()
+    assert len(got) == len(ODD_ROWS) and set(got.columns) == set(docs.columns) | added
+    for n in set(INNER) - added:
+        assert set(got[n]) == {f"mine {n}"}, n
+
+
+def test_columns_are_left_out(spark):
+    docs = crowded(spark, ODD_ROWS, ODD_SCHEMA)
+    assert near_dedup.near_duplicates(docs).count() == 6
+    assert suffix_dedup.repeated_passages(docs).count() == len(ODD_ROWS)
+    assert packing.pack(docs).groupBy("doc_id").agg(F.sum("length")).count() == 5
+    rows = crowded(spark, [(0, [1.0, 2.0]), (1, [2.0, 1.0]), (1, [2.0, 1.0])], "vec_id long, embedding array<double>", "embedding")
+    assert topk.top_k(rows, F.col("vec_id") == 0, 5).count() == 2
+    turns = crowded(spark, [(0, 0, "user", "q"), (1, 0, "user", "q")], "conv_id long, turn long, role string, text string")
+    assert chat_format.format_preferences(turns, F.shiftright("conv_id", 1), F.when(F.col("conv_id") == 0, "chosen").otherwise("rejected")).count() == 1
+
+
+def test_very_long_texts(spark):
+    r = random.Random(31)
+    line = "a line that very many documents share"
+    long = "\n".join([line if i % 3 == 0 else f"own line number {i} of this text" for i in range(50_000)])
+    docs = frame(spark, [(1, long, "en", "s", 1), (2, line, "en", "s", 1), (3, line, "en", "s", 1), (4, QUESTION + " " + prose(60_000, r), "en", "s", 1), (5, prose(9, r), "en", "s", 1)], ODD_SCHEMA)
+    begun = time.monotonic()
+    got = {g["doc_id"]: (g["n_lines"], g["n_dropped"], g["kept_text"]) for g in line_dedup.dedup_lines(docs).collect()}
+    assert time.monotonic() - begun < 60  # with the square of the lines it takes minutes
+    assert got[1] == (50_000, 16_667, "\n".join(x for x in long.split("\n") if x != line)) and got[2][1] == 1 and got[3][1] == 0
+    bench = frame(spark, [(7, QUESTION)], "item_id long, text string")
+    assert [g["doc_id"] for g in decontaminate.decontaminate(docs, bench).where("contaminated").collect()] == [4]
+    labels = frame(spark, [(1, 0), (4, 1)], "doc_id long, toxic int")
+    assert toxicity.score_toxicity(docs, labels).where("score between 0 and 1").count() == 5
+    assert quality.score_quality(docs, labels.withColumnRenamed("toxic", "quality")).where("score between 0 and 1").count() == 5
+    assert pii.find_personal_data(docs).count() == 5
+
+
 # the pipeline
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    import corpus_pipeline as p
+
+    docs = crowded(spark, [(i and i + 10**6, *x) for i, *x in ODD_ROWS], ODD_SCHEMA)  # ids without labels
+    for name, stage in p.STAGES[:-1]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns, name
+        got = out.toPandas()
+        assert all(set(got[n]) <= {f"mine {n}"} for n in INNER), name
+        assert len(got) <= len(ODD_ROWS) and got["doc_id"].isna().any(), name
+    assert p.STAGES[-1][1](spark, docs, SMALL).count() > 0
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as p
 
