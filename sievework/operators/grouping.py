@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievework.functions.ranks import numbered as numbered_rows
 from sievework.functions.scratch import Scratch
 from sievework.operators.components import connected_components
+from sievework.operators.dedup import members
 
 
 def gap_islands(events: DataFrame, keys: list[str], ts: str, gap: str) -> DataFrame:
@@ -16,12 +18,32 @@ def gap_islands(events: DataFrame, keys: list[str], ts: str, gap: str) -> DataFr
 
 
 def chain_edges(items: DataFrame, id_col: str, ts: str, seconds: float, keys: list[str] | None = None) -> DataFrame:
-    """(a, b): each item and the one before it in time, where they lie at most `seconds` apart."""
-    w = Window.partitionBy(*(keys or [])).orderBy(ts, id_col)
-    before = items.where(F.col(ts).isNotNull()).select(F.col(id_col).alias("b"), F.lag(id_col).over(w).alias("a"), F.col(ts).alias("t"), F.lag(ts).over(w).alias("p"))
+    """(a, b): each item and the one before it in time, where they lie at most `seconds` apart.
+
+    Without keys, items are numbered over range partitions, and meet by their numbers.
+    """
+    rows = items.where(F.col(ts).isNotNull())
+    if keys:
+        w = Window.partitionBy(*keys).orderBy(ts, id_col)
+        before = rows.select(F.col(id_col).alias("b"), F.lag(id_col).over(w).alias("a"), F.col(ts).alias("t"), F.lag(ts).over(w).alias("p"))
+    else:
+        placed = numbered_rows(rows.select(F.col(id_col).alias("b"), F.col(ts).alias("t")), ["t", "b"])
+        placed = Scratch(items.sparkSession, "chain").save(placed, "placed")
+        before = placed.join(placed.select((F.col("number") + 1).alias("number"), F.col("b").alias("a"), F.col("t").alias("p")), "number")
     return before.where("a IS NOT NULL").where(F.expr("timestampdiff(MICROSECOND, p, t)") <= seconds * 1e6).select("a", "b")
 
 
+def star_edges(items: DataFrame, id_col: str, hash_col: str) -> DataFrame:
+    """(a, b): the first item of each group of equal contents with each other one."""
+    return members(items, id_col, hash_col).where(F.col(id_col) != F.col("first")).select(F.col("first").alias("a"), F.col(id_col).alias("b"))
+
+
+def scene_edges(stars: DataFrame, near: DataFrame, chain: DataFrame) -> DataFrame:
+    """(a, b, kind): the links of scenes by equal contents (a, b), near pairs (left, right) and time (a, b)."""
+    kind = lambda df, a, b, name: df.select(F.col(a).alias("a"), F.col(b).alias("b"), F.lit(name).alias("kind"))
+    return kind(stars, "a", "b", "exact").unionByName(kind(near, "left", "right", "near")).unionByName(kind(chain, "a", "b", "time"))
+
+
 def numbered(components: DataFrame, prefix: str = "scene") -> DataFrame:
     """(component, group): components by their smallest member, as prefix-0001 and so on.
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.geometry import box_iou
+from sievework.functions.ranks import medians
 from sievework.functions.scratch import Scratch
 
 #: Features of the outlier score, the third on a logarithmic scale.
@@ -31,11 +32,13 @@ HIGH, MOST_REASONS = 0.75, 3
 
 
 def robust_stats(accepted: DataFrame, features: dict[str, bool]) -> DataFrame:
-    """One row: m_<feature> and s_<feature>, the median and the scaled median deviation from it."""
+    """One row: m_<feature> and s_<feature>, the median and the scaled median deviation from it; both by distributed ranks."""
     value = lambda c: F.log1p(F.col(c).cast("double")) if features[c] else F.col(c).cast("double")
-    medians = accepted.agg(*(F.median(value(c)).alias(f"m_{c}") for c in features))
-    spread = accepted.join(F.broadcast(medians), F.lit(True))
-    return spread.agg(*(F.first(f"m_{c}").alias(f"m_{c}") for c in features), *(F.greatest(F.median(F.abs(value(c) - F.col(f"m_{c}"))) * MAD_SCALE, F.lit(MAD_FLOOR)).alias(f"s_{c}") for c in features))
+    middle = medians(accepted, {f"m_{c}": value(c) for c in features})
+    spread = accepted.join(F.broadcast(middle), F.lit(True))
+    deviation = medians(spread, {f"s_{c}": F.abs(value(c) - F.col(f"m_{c}")) for c in features})
+    deviation = deviation.select(*(F.greatest(F.col(f"s_{c}") * MAD_SCALE, F.lit(MAD_FLOOR)).alias(f"s_{c}") for c in features))
+    return middle.join(F.broadcast(deviation), F.lit(True))
 
 
 def ood_score(candidates: DataFrame, accepted: DataFrame, features: dict[str, bool] | None = None) -> DataFrame:
@@ -98,6 +101,18 @@ def detection_stats(detections: DataFrame, images: DataFrame, key: str, standard
     return out.select(key, *(F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in empty.items()))
 
 
+def uncertainty(confidence_mean: Column, low_confidence_fraction: Column) -> Column:
+    """What a model is unsure of: 1 less the mean confidence, plus the share of low ones."""
+    return 1 - confidence_mean + low_confidence_fraction
+
+
+def capped_detections(detections: DataFrame, key: str, index: str, floor: float, most: int = 300) -> DataFrame:
+    """The detections of at least `floor` confidence, `most` an image, surest first (ties: smaller index)."""
+    best = Window.partitionBy(key).orderBy(F.desc("confidence"), index)
+    rows = detections.where(F.col("confidence") >= floor).withColumn("place", F.row_number().over(best))
+    return rows.where(F.col("place") <= most).drop("place")
+
+
 def overlap_fraction(boxes: DataFrame, key: str, index: str, threshold: float = 0.05) -> DataFrame:
     """(key, crowding_iou_fraction): the share of box pairs with IoU of at least the threshold; 0 for under two boxes."""
     box = F.struct("x1", "y1", "x2", "y2")

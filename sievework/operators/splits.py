@@ -2,39 +2,61 @@
 
 from __future__ import annotations
 
+import heapq
 import random
+from array import array
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Groups that the driver takes to assign them; a group is one (name, size).
-MOST_GROUPS = 5_000_000
+from sievework.functions.ranks import numbered
+from sievework.functions.scratch import Scratch
 
+#: Groups whose splits are sent back to Spark at once.
+SENT = 1_000_000
 
-def assign_groups(sizes: dict[str, int], ratios: dict[str, float], seed: int) -> dict[str, str]:
-    """Seeded shuffle, then largest group first, each to the split that lacks the largest share of its target.
 
-    `sizes` is in order of first appearance; ties go to the split that `ratios` names first.
+def _choices(sizes: Sequence[int], ratios: dict[str, float], seed: int) -> bytearray:
+    """For each group its split, as a number: groups ask for a place from the largest on, equal ones
+    in an order drawn with the seed, and the split with the largest unmet share of its target takes each.
     """
-    order = list(sizes)
-    random.Random(seed).shuffle(order)
-    order.sort(key=sizes.__getitem__, reverse=True)
-    target = {s: sum(sizes.values()) * r for s, r in ratios.items()}
-    filled = dict.fromkeys(ratios, 0)
-    out = {}
-    for group in order:
-        out[group] = max(ratios, key=lambda s: (target[s] - filled[s]) / max(target[s], 1.0))
-        filled[out[group]] += sizes[group]
+    drawn = array("q", range(len(sizes)))
+    random.Random(seed).shuffle(drawn)
+    everything, out = sum(sizes), bytearray(len(sizes))
+    goals = [everything * r for r in ratios.values()]
+    unmet = [(-goal / max(goal, 1.0), k, 0) for k, goal in enumerate(goals)]
+    heapq.heapify(unmet)
+    for group in sorted(drawn, key=lambda g: -sizes[g]):
+        _, k, held = unmet[0]
+        out[group] = k
+        held += sizes[group]
+        heapq.heapreplace(unmet, (-(goals[k] - held) / max(goals[k], 1.0), k, held))
     return out
 
 
+def assign_groups(sizes: dict[str, int], ratios: dict[str, float], seed: int) -> dict[str, str]:
+    """Each group's split; `sizes` is in order of first appearance, and ties go to the split that `ratios` names first."""
+    names = list(ratios)
+    return {group: names[k] for group, k in zip(sizes, _choices(list(sizes.values()), ratios, seed), strict=True)}
+
+
 def split_groups(items: DataFrame, group_col: str, ratios: dict[str, float], seed: int) -> DataFrame:
-    """(group, split) for every group, taken in order of its name. Sizes are aggregated first; only those go to the driver."""
-    sizes = items.where(F.col(group_col).isNotNull()).groupBy(group_col).count().orderBy(group_col).limit(MOST_GROUPS + 1).collect()
-    if len(sizes) > MOST_GROUPS:
-        raise ValueError(f"more than {MOST_GROUPS} groups to assign")
-    split = assign_groups({r[0]: r[1] for r in sizes}, ratios, seed)
-    return items.sparkSession.createDataFrame(list(split.items()), items.select(group_col).schema.add("split", "string"))
+    """(group, split) for every group, taken in order of its name.
+
+    Sizes are aggregated and numbered by Spark. One choice depends on all before, so the driver
+    makes them: it holds 17 bytes for each group (its size, its place in the draw, its split), no names.
+    """
+    spark, names = items.sparkSession, list(ratios)
+    scratch = Scratch(spark, "splits")
+    sizes = items.where(F.col(group_col).isNotNull()).groupBy(group_col).agg(F.count(F.lit(1)).alias("size"))
+    sizes = scratch.save(numbered(sizes, [group_col]), "sizes")
+    choices = _choices(array("q", (r[0] for r in sizes.orderBy("number").select("size").toLocalIterator())), ratios, seed)
+    path = f"{scratch.base}/choices"
+    for at in range(0, len(choices) or 1, SENT):
+        part = [(at + n, names[k]) for n, k in enumerate(choices[at : at + SENT])]
+        spark.createDataFrame(part, "number long, split string").write.mode("append").parquet(path)
+    return sizes.join(spark.read.schema("number long, split string").parquet(path), "number").select(group_col, "split")
 
 
 def leaking_groups(rows: DataFrame, group_col: str, split_col: str) -> DataFrame:

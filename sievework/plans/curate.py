@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievework.functions.ranks import medians
 from sievework.operators import review, selection
 from sievework.plans.audit import SIGNATURES, signatures
 from sievework.plans.registry import query, table
@@ -34,7 +35,7 @@ r AS (SELECT source, doc_id, abs(n_chars - a) / 30.0 + abs(ln(1 + n_chars) - b)
 @query(f"WITH {REPRESENTATIVE} SELECT source, arg_min(doc_id, (score, doc_id)) AS doc_id, round(min(score), 6) AS score, count(*)::BIGINT AS size FROM r GROUP BY source")
 def min_by_representative(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("source", "doc_id", "n_chars")
-    middle = docs.agg(F.median("n_chars").alias("a"), F.median(F.log1p("n_chars")).alias("b"))
+    middle = medians(docs, {"a": F.col("n_chars"), "b": F.log1p("n_chars")})
     rows = docs.join(F.broadcast(middle), F.lit(True))
     score = F.abs(F.col("n_chars") - F.col("a")) / 30 + F.abs(F.log1p("n_chars") - F.col("b"))
     return selection.central_representatives(rows, "source", "doc_id", score).withColumn("score", F.round("score", 6))

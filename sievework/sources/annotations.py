@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sievework.functions.ranks import numbered
 from sievework.functions.scalar import POINTS, attribute_flag, attribute_int, drop_consecutive_points, parse_points, text_or
 
 _ATTRIBUTE = "array<struct<_name:string,_VALUE:string>>"
@@ -88,5 +89,5 @@ def merge(exports: list[DataFrame]) -> DataFrame:
     rows = rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("name")))
     name = F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("image in several exports: "), F.col("name"))).cast("string")).otherwise(F.col("name"))
     rows = rows.withColumn("name", name).drop("_n", "image_id")
-    ids = rows.select("name").withColumn("image_id", F.row_number().over(Window.orderBy("name")) - 1)  # names only
+    ids = numbered(rows.select("name"), ["name"], "image_id")
     return rows.join(ids, "name").select("image_id", "name", "width", "height", "polygons")
