@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,8 @@ from sievework.functions.scratch import Scratch
 BITS = 63
 #: Reference rows that are broadcast by min_distance at most; beyond, they are joined by bands.
 BROADCAST_ROWS = 100_000
+#: Keys that a row may have in a join by chunks.
+MOST_KEYS = 5000
 
 
 def exact_groups(items: DataFrame, id_col: str, hash_col: str) -> DataFrame:
@@ -41,34 +45,55 @@ def median_bits(values: Column, bits: int = BITS) -> Column:
     return F.get(F.transform(F.array(F.struct(rest.alias("v"), middle.alias("m"))), bits_of), F.lit(0))
 
 
-def _banded(left: DataFrame, right: DataFrame, threshold: int, keys: list[str], bits: int) -> DataFrame:
-    """Candidate pairs that agree in one of threshold + 1 bands, by the pigeonhole principle."""
-    n = threshold + 1
-    if n > bits:
-        raise ValueError("threshold leaves no bits for the bands")
-    cuts = [i * bits // n for i in range(n + 1)]
-    band = lambda i: F.expr(f"shiftright(sig, {cuts[i]}) & {(1 << (cuts[i + 1] - cuts[i])) - 1}L")
-    bands = F.explode(F.array(*(F.struct(F.lit(i).alias("no"), band(i).alias("value")) for i in range(n)))).alias("band")
-    cut = lambda df, side: df.select("*", bands).select(*(F.col(k).alias(k) for k in keys), F.col("band.no").alias("no"), F.col("band.value").alias("value"), F.col("id").alias(side), F.col("sig").alias(f"sig_{side}"))
-    return cut(left, "left").join(cut(right, "right"), [*keys, "no", "value"])
+def chunk_plan(threshold: int, bits: int, rows: int) -> tuple[float, int, int]:
+    """(cost a row, chunks, errors) of the cheapest way to meet by equal chunks with so many errors.
+
+    By the pigeonhole principle one of m chunks of a pair has at most (threshold + 1) / m - 1
+    errors, rounded up. A row then has a key for each chunk and error, and meets the rows that
+    share one of them by chance.
+    """
+    plans = []
+    for m in range(1, min(threshold + 1, bits) + 1):
+        errors = -(-(threshold + 1) // m) - 1
+        keys = m * sum(comb(-(-bits // m), k) for k in range(errors + 1))
+        if keys <= MOST_KEYS:
+            plans.append((keys + rows * keys / 2 ** (bits // m), m, errors))
+    return min(plans)
+
+
+def _chunked(left: DataFrame, right: DataFrame, chunks: int, errors: int, keys: list[str], bits: int) -> DataFrame:
+    """Candidate pairs that agree in a chunk but for some errors, which are enumerated on the left side."""
+    cuts = [i * bits // chunks for i in range(chunks + 1)]
+    widths = [b - a for a, b in zip(cuts, cuts[1:], strict=False)]
+    value = lambda i: F.expr(f"shiftright(sig, {cuts[i]}) & {(1 << widths[i]) - 1}L")
+    masks = lambda w: [sum(1 << p for p in places) for k in range(errors + 1) for places in combinations(range(w), k)]
+    wrong = lambda i: F.transform(F.array(*map(F.lit, masks(widths[i]))), lambda x: value(i).bitwiseXOR(x.cast("long")))
+    exact = F.explode(F.array(*(F.struct(F.lit(i).alias("no"), value(i).alias("value")) for i in range(chunks))))
+    keyed = lambda i: F.transform(wrong(i), lambda v: F.struct(F.lit(i).alias("no"), v.alias("value")))
+    near = F.explode(F.flatten(F.array(*map(keyed, range(chunks)))))
+    cut = lambda df, how, side: df.select(*keys, "id", "sig", how.alias("chunk")).select(*keys, "chunk.no", "chunk.value", F.col("id").alias(side), F.col("sig").alias(f"sig_{side}"))
+    return cut(left, near, "left").join(cut(right, exact, "right"), [*keys, "no", "value"])
 
 
 def near_pairs(items: DataFrame, id_col: str, sig: Column, threshold: int, keys: list[str] | None = None, different: str | None = None, banded: bool | None = None) -> DataFrame:
     """(left, right, distance) of items with left < right, equal `keys` and signatures that differ in at most `threshold` bits.
 
-    Pairs with equal `different` (a content hash) are left out. Bands make the join exact and an
-    equi-join; they pay where they are at least 9 bits wide. Wider thresholds compare all pairs
-    of equal keys, in a nested loop if there are none.
+    Pairs with equal `different` (a content hash) are left out. Chunks with enumerated errors make
+    the join exact and an equi-join; they are used where they are the cheaper way for the number of
+    rows (or as `banded` says). Else all pairs of equal keys are compared, in a nested loop if there
+    are no keys: for wide thresholds chance alone makes about as many candidates.
     """
     keys = keys or []
     rows = items.select(F.col(id_col).alias("id"), sig.alias("sig"), *keys, *([F.col(different).alias("content")] if different else []))
     # written once: else the optimizer moves the signature's expression into the pairs
     rows = Scratch(items.sparkSession, "signatures").save(rows.where(F.col("sig").isNotNull()), "rows")
+    n = rows.count()
+    cost, chunks, errors = chunk_plan(threshold, BITS, n)
     if banded is None:
-        banded = BITS // (threshold + 1) >= 9
+        banded = cost < n / 2
     close = hamming(F.col("sig_left"), F.col("sig_right")).cast("int")
     if banded:
-        pairs = _banded(rows, rows, threshold, keys, BITS).where(F.col("left") < F.col("right"))
+        pairs = _chunked(rows, rows, chunks, errors, keys, BITS).where(F.col("left") < F.col("right"))
     else:
         side = lambda s: rows.select(*(F.col(k).alias(f"{k}_{s}") for k in keys), F.col("id").alias(s), F.col("sig").alias(f"sig_{s}"))
         same = reduce(lambda a, k: a & (F.col(f"{k}_left") == F.col(f"{k}_right")), keys, F.col("left") < F.col("right"))
