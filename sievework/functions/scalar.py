@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 POINTS = "array<struct<x:double,y:double>>"
@@ -118,3 +118,13 @@ def split_name(split: Column) -> Column:
     for k, v in names.items():
         out = F.when(split == k, v) if out is None else out.when(split == k, v)
     return out.otherwise(F.raise_error(F.concat(F.lit("unknown split: "), F.coalesce(split, F.lit("null")))).cast("string"))
+
+
+def half_even(value: Column, places: int) -> Column:
+    """Rounded, a half to the even neighbour."""
+    return F.bround(value, places)
+
+
+def column_subset(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Some columns as text, '' for null and for those that are not there."""
+    return df.select(*((F.coalesce(F.col(c).cast("string"), F.lit("")) if c in df.columns else F.lit("")).alias(c) for c in columns))

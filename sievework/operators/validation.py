@@ -60,3 +60,44 @@ def unequal_sums(left: DataFrame, right: DataFrame, value: Column) -> DataFrame:
 def policy_violations(config: dict, required: dict) -> list[str]:
     """Settings of a run that differ from the required ones."""
     return [f"{k}: {config.get(k)!r}, not {v!r}" for k, v in required.items() if config.get(k) != v]
+
+
+def selection_violations(selected: DataFrame, inventory: DataFrame, cache: DataFrame, holdout_groups: DataFrame, size: int) -> DataFrame:
+    """(gate, name) of whatever forbids a selection: a name that is not in the inventory or not
+    UNLABELED there, a group of the candidate cache that is held out, another number than `size`.
+
+    selected has (name), inventory (name, status), cache (name, group), holdout_groups (group).
+    """
+    gate = lambda name, df: df.select(F.lit(name).alias("gate"), F.col(df.columns[0]).cast("string").alias("name"))
+    known = selected.join(inventory, "name", "left")
+    count = selected.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") != size)
+    return (
+        gate("not_unlabeled", known.where(~F.coalesce(F.col("status") == "UNLABELED", F.lit(False))).select("name"))
+        .unionByName(gate("holdout_in_cache", cache.join(holdout_groups.distinct(), "group", "left_semi").select("name")))
+        .unionByName(gate("not_the_number", count))
+    )
+
+
+def tallies(rows: DataFrame, method: str, expected: list[str]) -> DataFrame:
+    """(method, n): how often each method was used, 0 for expected ones that weren't."""
+    known = rows.sparkSession.createDataFrame([(m,) for m in expected], f"{method} string")
+    counts = rows.where(F.col(method).isNotNull()).groupBy(method).agg(F.count(F.lit(1)).alias("n"))
+    return known.distinct().join(counts, method, "full").select(method, F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def package_report(expected: DataFrame, actual: DataFrame, key: str, hash_col: str) -> DataFrame:
+    """One row: files expected and found, missing, unexpected and changed ones, and whether all is well."""
+    both = expected.select(key, F.col(hash_col).alias("_e"), F.lit(True).alias("_left")).join(actual.select(key, F.col(hash_col).alias("_a"), F.lit(True).alias("_right")), key, "full")
+    counts = both.agg(
+        F.count_if(F.col("_left")).alias("n_expected"),
+        F.count_if(F.col("_right")).alias("n_found"),
+        F.count_if(F.col("_right").isNull()).alias("n_missing"),
+        F.count_if(F.col("_left").isNull()).alias("n_unexpected"),
+        F.count_if(F.col("_left") & F.col("_right") & ~F.col("_e").eqNullSafe(F.col("_a"))).alias("n_changed"),
+    )
+    return counts.withColumn("ok", F.expr("n_missing + n_unexpected + n_changed = 0"))
+
+
+def group_flags(items: DataFrame, group: str, accepted: Column) -> DataFrame:
+    """(group, size, any_accepted) of each group."""
+    return items.groupBy(group).agg(F.count(F.lit(1)).alias("size"), F.coalesce(F.bool_or(accepted), F.lit(False)).alias("any_accepted"))

@@ -7,6 +7,7 @@ import hashlib
 import json
 import os
 import shutil
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -69,7 +70,10 @@ def label_files(lines: DataFrame) -> DataFrame:
 
 
 def write_files(files: DataFrame, folder: str) -> DataFrame:
-    """Write (subfolder, filename, content) below a folder all executors share; returns (filename, sha256, ok), read back from disk."""
+    """Write (subfolder, filename, content) below a folder all executors share; returns (filename, sha256, ok), read back from disk.
+
+    A file that is there raises, unless it has the very content, as after a task that is run again.
+    """
 
     def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -77,9 +81,15 @@ def write_files(files: DataFrame, folder: str) -> DataFrame:
             for sub, name, content in zip(batch["subfolder"], batch["filename"], batch["content"], strict=True):
                 os.makedirs(os.path.join(folder, sub), exist_ok=True)
                 path = os.path.join(folder, sub, name)
-                with open(f"{path}.part", "wb") as f:
-                    f.write(content)
-                os.replace(f"{path}.part", path)
+                if os.path.exists(path):
+                    with open(path, "rb") as f:
+                        if f.read() != content:
+                            raise FileExistsError(path)
+                else:
+                    part = f"{path}.{uuid.uuid4().hex}.part"
+                    with open(part, "wb") as f:
+                        f.write(content)
+                    os.replace(part, path)
                 with open(path, "rb") as f:
                     got = hashlib.file_digest(f, "sha256").hexdigest()
                 ok = got == hashlib.sha256(content).hexdigest()
@@ -116,12 +126,25 @@ def write_dataset_yaml(path: str, root: str, names: dict[int, str]) -> None:
         yaml.safe_dump({"path": root, "train": "images/train", "val": "images/val", "test": "images/test", "names": names}, f, sort_keys=False, allow_unicode=True)
 
 
+def write_readme(path: str, title: str, facts: dict[str, object], notes: list[str] = ()) -> None:
+    """A short text file with a title, named facts and notes."""
+    lines = [f"# {title}", "", *(f"- {k}: {v}" for k, v in facts.items()), *("", *notes)[: 1 + len(notes) if notes else 0]]
+    with open(path, "x", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+
+
 def review_page(rows: list[dict], title: str) -> str:
-    """An HTML table of review rows with a filter and export of decisions in the browser."""
+    """An HTML table of review rows with a filter; decisions are kept by the browser as they are typed, and exported as JSON."""
     from html import escape
 
     keys = list(rows[0]) if rows else []
     head = "".join(f"<th>{escape(k)}</th>" for k in keys)
-    body = "".join("<tr>" + "".join(f"<td>{escape(str(r[k]))}</td>" for k in keys) + "<td><input></td></tr>" for r in rows)
+    body = "".join("<tr>" + "".join(f"<td>{escape(str(r[k]))}</td>" for k in keys) + f"<td><input data-row={n}></td></tr>" for n, r in enumerate(rows))
     script = "const q=document.querySelector('#q');q.oninput=()=>document.querySelectorAll('tbody tr').forEach(r=>r.hidden=!r.textContent.toLowerCase().includes(q.value.toLowerCase()));"
-    return f"<!doctype html><meta charset=utf-8><title>{escape(title)}</title><input id=q placeholder=filter><table><thead><tr>{head}<th>decision</th></tr></thead><tbody>{body}</tbody></table><script>{script}</script>"
+    script += (
+        "const k='review:'+document.title,d=JSON.parse(localStorage.getItem(k)||'{}');document.querySelectorAll('[data-row]').forEach(i=>{i.value=d[i.dataset.row]||'';"
+        "i.oninput=()=>{d[i.dataset.row]=i.value;localStorage.setItem(k,JSON.stringify(d));};});const h=[...document.querySelectorAll('th')].map(x=>x.textContent);"
+        "document.querySelector('#save').onclick=()=>{const o=[...document.querySelectorAll('tbody tr')].map(r=>Object.fromEntries([...r.cells].map((c,n)=>[h[n],c.firstElementChild?c.firstElementChild.value:c.textContent])));"
+        "const a=document.createElement('a');a.href=URL.createObjectURL(new Blob([JSON.stringify(o)],{type:'application/json'}));a.download=document.title+'.json';a.click();};"
+    )
+    return f"<!doctype html><meta charset=utf-8><title>{escape(title)}</title><input id=q placeholder=filter><button id=save>export</button><table><thead><tr>{head}<th>decision</th></tr></thead><tbody>{body}</tbody></table><script>{script}</script>"

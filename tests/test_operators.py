@@ -1,4 +1,5 @@
 import random
+import statistics
 from collections import defaultdict
 
 import numpy as np
@@ -6,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from sievework.functions import ranks
 from sievework.functions.scratch import Scratch
 from sievework.operators import dedup, features, grouping, review, selection, splits, validation
 from sievework.operators.components import connected_components
@@ -203,3 +205,58 @@ def test_stream_equals_batch(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert rows(spark.table("islands")) == rows(grouping.gap_islands(events, ["k"], "ts", "30 seconds"))
+
+
+def test_chunks_find_all_pairs(spark):
+    r = random.Random(5)
+    sigs = [r.getrandbits(63) for _ in range(60)]
+    sigs += [s ^ sum(1 << p for p in r.sample(range(63), r.randrange(14))) for s in sigs for _ in range(2)]
+    df = spark.createDataFrame(list(enumerate(sigs)), "id long, sig long")
+    for threshold in (0, 3, 6, 12):
+        expected = {(i, j, (a ^ b).bit_count()) for i, a in enumerate(sigs) for j, b in enumerate(sigs) if i < j and (a ^ b).bit_count() <= threshold}
+        for banded in (True, False, None):
+            assert {tuple(x) for x in dedup.near_pairs(df, "id", F.col("sig"), threshold, banded=banded).collect()} == expected
+    assert dedup.chunk_plan(6, 63, 10**9)[1:] != (7, 0)
+
+
+def test_numbers_and_medians(spark):
+    r = random.Random(6)
+    rows = [(i, r.choice([None, 1.5, 2.0, 7.0, -3.0]), float(r.randrange(9))) for i in range(101)]
+    df = spark.createDataFrame(rows, "id long, a double, b double").repartition(3)
+    got = ranks.medians(df, {"a": F.col("a"), "b": F.col("b"), "none": F.lit(None)}).first()
+    assert got["a"] == statistics.median(x[1] for x in rows if x[1] is not None) and got["b"] == statistics.median(x[2] for x in rows) and got["none"] is None
+    places = {x["id"]: x["number"] for x in ranks.numbered(df, ["b", "id"]).collect()}
+    assert places == {x[0]: n for n, x in enumerate(sorted(rows, key=lambda x: (x[2], x[0])))}
+    assert ranks.medians(df.where("id < 0"), {"a": F.col("a")}).first()["a"] is None
+
+
+def test_splits_are_those_of_the_rule(spark):
+    r = random.Random(7)
+    ratios = {"train": 0.7, "validation": 0.15, "test": 0.15}
+    for seed in (1, 20260731):
+        sizes = {f"g{i:03d}": r.choice([1, 1, 2, 5, 9]) for i in range(80)}
+        got = splits.assign_groups(sizes, ratios, seed)
+        draw = list(sizes)
+        random.Random(seed).shuffle(draw)
+        left = {s: [sum(sizes.values()) * q] * 2 for s, q in ratios.items()}  # goal, unmet
+        for size in sorted(set(sizes.values()), reverse=True):
+            for g in (x for x in draw if sizes[x] == size):
+                best = max(v[1] / max(v[0], 1.0) for v in left.values())
+                assert left[got[g]][1] / max(left[got[g]][0], 1.0) > best - 1e-9
+                left[got[g]][1] -= size
+        items = spark.createDataFrame([(g,) for g, n in sizes.items() for _ in range(n)] + [(None,)], "g string")
+        assert {x["g"]: x["split"] for x in splits.split_groups(items, "g", ratios, seed).collect()} == got
+    assert splits.split_groups(items.where("g = 'no'"), "g", ratios, 1).count() == 0
+
+
+def test_files_are_not_overwritten(spark, tmp_path):
+    files = lambda text: spark.createDataFrame([("a", "x.txt", bytearray(text))], "subfolder string, filename string, content binary")
+    for _ in range(2):  # the same content may be written again
+        assert sinks.write_files(files(b"one"), str(tmp_path)).first()["ok"]
+    with pytest.raises(Exception, match="FileExistsError"):
+        sinks.write_files(files(b"two"), str(tmp_path)).collect()
+    assert (tmp_path / "a/x.txt").read_bytes() == b"one"
+    sinks.write_readme(str(tmp_path / "README.md"), "Batch", {"images": 3}, ["made by hand"])
+    assert "- images: 3" in (tmp_path / "README.md").read_text()
+    page = sinks.review_page([{"image": "<a>", "n": 1}], "t")
+    assert "localStorage" in page and "JSON.stringify(o)" in page and "&lt;a&gt;" in page
