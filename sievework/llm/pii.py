@@ -272,29 +272,26 @@ def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return out.select(*kept(docs, "spans"), F.concat(base, F.array_sort(more)).alias("spans"))
 
 
+def sanitised(text: Column, spans: Column) -> Column:
+    """A text whose spans are generalised; of overlapping ones the first, then the longest."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], (-s["end"]).alias("back"), s["kind"])))
+    begin = F.struct(F.lit(0).alias("done"), F.lit("").alias("out"))
+
+    def label(s: Column) -> Column:
+        number = F.substring(text, s["start"] + 1, -s["back"] - s["start"]).rlike("[0-9]")
+        return F.when(s["kind"] != TERM, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).when(number, "[NUMBER]").otherwise("[REMOVED]")
+
+    def add(x: Column, s: Column) -> Column:
+        put = F.concat(x["out"], F.substring(text, x["done"] + 1, s["start"] - x["done"]), label(s))
+        return F.when(s["start"] < x["done"], x).otherwise(F.struct((-s["back"]).alias("done"), put.alias("out")))
+
+    whole = F.aggregate(ordered, begin, add, lambda x: F.concat(x["out"], F.substring(text, x["done"] + 1, F.char_length(text))))
+    return F.when(F.size(spans) == 0, text).otherwise(whole)
+
+
 def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with `spans` and `sanitised`: base spans and secrets become [EMAIL] and the like, numbers
     among the disclosing terms are generalised to [NUMBER], other terms to [REMOVED]. Null texts
     stay null; columns of these names are replaced."""
-
-    def rewrite(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        out = []
-        for text, found in zip(texts, spans, strict=True):
-            if text is None or not found:
-                out.append(text)
-                continue
-            places = [(int(a), int(b), kind) for kind, a, b in (x.split(":") for x in found.split(","))]
-            done, parts = 0, []
-            for start, end, kind in sorted(places, key=lambda p: (p[0], -p[1])):
-                if start < done:
-                    continue
-                number = any(c.isdigit() for c in text[start:end])
-                parts += [text[done:start], f"[{kind.upper()}]" if kind != TERM else "[NUMBER]" if number else "[REMOVED]"]
-                done = end
-            out.append("".join(parts) + text[done:])
-        return pd.Series(out, dtype=object)
-
-    rewrite.__annotations__ = {"texts": pd.Series, "spans": pd.Series, "return": pd.Series}
-    listed = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     found = find_personal_data(docs, text_col)
-    return found.select(*kept(found, "sanitised"), F.pandas_udf(rewrite, "string")(F.col(quoted(text_col)), listed).alias("sanitised"))
+    return found.select(*kept(found, "sanitised"), sanitised(F.col(quoted(text_col)), F.col("spans")).alias("sanitised"))

@@ -596,6 +596,14 @@ def test_term_counts_equal_brute_force(spark):
     assert got == expected
 
 
+def test_sanitised_texts(spark):
+    rows = [(1, "é a.b@c.de, +1 (255) 555-8013 x"), (2, "no"), (3, None), (4, 'k = "04dbebab91ab85687d33eeaaf9ac699e1188f962"'), (5, "1.2.3.4@x.de 4111111111111111")]
+    got = {g["doc_id"]: g["sanitised"] for g in pii.sanitise(frame(spark, rows)).collect()}
+    assert got == {1: "é [EMAIL], [PHONE] x", 2: "no", 3: None, 4: 'k = "[SECRET]"', 5: "[EMAIL] [CARD]"}
+    spans = spark.sql("SELECT 'ab 12 cd' AS t, array(named_struct('kind', 'term', 'start', 3, 'end', 5), named_struct('kind', 'term', 'start', 0, 'end', 2)) AS s")
+    assert spans.select(pii.sanitised(F.col("t"), F.col("s"))).first()[0] == "[REMOVED] [NUMBER] cd"
+
+
 def test_secrets():
     text = 'x token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa 12345678901234567890123'
     assert [text[a:b] for _, a, b in pii.secret_spans(text)] == ["04dbebab91ab85687d33eeaaf9ac699e1188f962"]
