@@ -499,9 +499,69 @@ def test_toxicity_learns(spark):
     assert toxicity.score_toxicity(d.where("doc_id > 9000"), lab).count() == 0
 
 
+def test_lexicon_equals_brute_force(spark):
+    r = random.Random(33)
+    words = VOCABULARY[:40] + ["zzbad", "zzbadly", "qqworse"]
+    rows = []
+    for i in range(400):
+        toxic = int(i % 4 == 0)
+        rows.append((" ".join([*(r.choice(words[:40]) for _ in range(12)), *([r.choice(words[40:])] if r.random() < (0.9 if toxic else 0.02) else [])]), toxic))
+    n1, n0 = sum(y for _, y in rows), sum(1 - y for _, y in rows)
+    held = {c: Counter(t for text, y in rows if y == c for t in toxicity.terms_of(text)) for c in (0, 1)}
+    expected = {}
+    for term, a in held[1].items():
+        b = held[0][term]
+        p1, p0 = (a + 0.5) / (n1 + 1), (b + 0.5) / (n0 + 1)
+        g2 = 2 * sum(n * np.log(n / ((a + b) * share)) for n, share in ((a, n1 / len(rows)), (b, n0 / len(rows))) if n)
+        if a >= 3 and g2 >= toxicity.EVIDENCE and p1 / (p1 + p0) >= toxicity.PRECISION:
+            expected[term] = np.log(p1 / p0)
+    got = toxicity.learn_lexicon(frame(spark, rows, "text string, label int")).odds
+    assert set(got) == set(expected) and "zzbad" in got and all(abs(got[t] - expected[t]) < 1e-9 for t in got)
+
+
 # 8: quality
 
 
+def test_a_round_of_co_training_equals_brute_force():
+    r = np.random.default_rng(35)
+    n, k = 3000, quality.TEXT_SIZE + quality.META_SIZE
+    rows, y, x = r.normal(size=(n, k)), (r.random(80) < 0.5).astype(float), r.normal(size=(80, k))
+    x[:, [0, quality.TEXT_SIZE]] += 3 * y[:, None]
+
+    class Held:
+        """Two parts of the unlabelled rows, summed as tasks are."""
+
+        def total(self, measure):
+            return measure(rows[:1000]) + measure(rows[1000:])
+
+    views = [quality.fit(part, y) for part in quality._split(x)]
+    parts = quality._split(rows)
+    scaling, chosen, labels = [], [], []
+    for v in range(2):
+        every = np.concatenate([quality._split(x)[v], parts[v]])
+        scaling.append((every.mean(0), every.std(0)))
+        odds = np.clip(views[v].logit(parts[v]), -quality.EDGE, quality.EDGE)
+        choice = quality._choice(views[v], np.bincount(quality._bins(views[v], parts[v]), minlength=quality.BINS))
+        label = quality._pseudo([choice], parts[v])
+        # the surest ones at either end, as many as TAKE asks for, if they are sure enough; ties of a bin go together
+        least, most = np.sort(odds)[int(quality.TAKE * n) - 1], np.sort(odds)[-int(quality.TAKE * n)]
+        width = 1 / quality.PER_UNIT
+        assert (label[odds <= min(least, -quality.SURE) - width] == 0).all() and (label[odds >= max(most, quality.SURE) + width] == 1).all()
+        assert (label[(odds > min(least, -quality.SURE) + width) & (odds < max(most, quality.SURE) - width)] == -1).all() and (label >= 0).sum() >= 20
+        chosen.append([choice])
+        labels.append(label)
+    new = quality._refit(views, list(quality._split(x)), y, np.ones(len(y)), Held(), chosen, scaling)
+    for v in range(2):
+        other = labels[1 - v]
+        taken = other >= 0
+        z = (np.concatenate([quality._split(x)[v], parts[v][taken]]) - scaling[v][0]) / scaling[v][1]
+        z = np.column_stack([z, np.ones(len(z))])
+        target, weight = np.concatenate([y, other[taken]]), np.concatenate([np.ones(len(y)), np.full(taken.sum(), quality.PSEUDO)])
+        b = np.append(new[v].weights, new[v].bias)
+        slope = z.T @ (weight * (1 / (1 + np.exp(-z @ b)) - target)) + np.append(b[:-1], 1e-6 * b[-1])
+        assert np.abs(slope).max() < 1e-3  # the least of the penalised loss over all rows at once
+
+
 def test_quality_learns(spark):
     r = random.Random(9)
     docs, labels = [], []
