@@ -1,6 +1,6 @@
 """Benchmark decontamination by canonical templates.
 
-A text becomes a sequence of template tokens: words lower-cased (A-Z) and freed of punctuation
+A text becomes a sequence of template tokens: words lower-cased (A-Z and À-Þ) and freed of punctuation
 at their ends, with numbers, names and units replaced by typed placeholders. A benchmark item
 leaks into a document when at least CONTAINMENT of the item's distinct windows of WINDOW template
 tokens occur in it and its slots are filled consistently at some place: the same value of the item
@@ -61,6 +61,10 @@ class Template:
     def __init__(self, text: str | None):
         raw = (text or "").encode("utf-8", "surrogatepass")
         a, lower = np.frombuffer(raw, np.uint8), np.frombuffer(raw.lower(), np.uint8)
+        second = np.flatnonzero(a[:-1] == 0xC3) + 1
+        if (second := second[_UPPER_LATIN[a[second]]]).size:
+            lower = lower.copy()
+            lower[second] += 0x20
         lo, hi = word_spans(a)
         if len(lo):
             starts = np.ones(len(lo), bool)  # a sentence starts with the word

@@ -174,6 +174,9 @@ def test_copies_in_any_case():
     for text in (QUESTION.upper(), QUESTION.title(), QUESTION.lower(), f"{prose(20)} {QUESTION.upper()} {prose(20)}"):
         assert [m[0] for m in block.match(text)] == [2], text
     assert not block.match(prose(300)) and not block.match(prose(300).upper())
+    accents = "où est la forêt éonlee du cœur à ñdo ção"
+    assert decontaminate.Block([(3, accents)]).match(f"NST! {accents.upper().replace('Œ', 'œ')} ÉT") and decontaminate.Block([(3, accents.upper().replace("Œ", "œ"))]).match(accents)
+    assert decontaminate.Template("À É Þ × Ÿ").words.tolist() == decontaminate.Template("à é þ × Ÿ").words.tolist()
 
 
 def brute_leaks(item, text):
