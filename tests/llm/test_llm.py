@@ -789,6 +789,41 @@ def test_very_long_texts(spark):
 # the pipeline
 
 
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline as p
+
+    r = random.Random(51)
+    line = "a line that very many documents share"
+    texts, toxic = {}, {}
+    for i in range(400):
+        toxic[i] = int(i % 5 == 0)
+        texts[i] = prose(40, r) + (f" {r.choice(['zzidiotic', 'zzmoronic'])} {prose(5, r)}" if toxic[i] else "") + (f"\n{line}" if i % 7 == 0 else "")
+    for i in range(400, 460):  # copies and near copies
+        texts[i] = edited(texts[r.choice([1, 2, 3, 4, 6])], r.choice([0, 0.01, 0.02, 0.2]), r)
+    for i in range(460, 470):
+        texts[i] = f"{prose(30, r)} {QUESTION} {prose(9, r)}"
+    texts |= {470: None, 471: "", 472: f"{line}\n{line}"}
+    frame(spark, [(i, t, "en", "s", len(t or "")) for i, t in texts.items()], f"{DOC}, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    frame(spark, [(i, x, 1) for i, x in toxic.items()], "doc_id long, toxic int, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    frame(spark, [(1, QUESTION)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = {i: t for i, t in texts.items() if not toxic.get(i)}
+    key = lambda x: x.strip(" \t\n\x0b\x0c\r").lower()
+    holds = defaultdict(set)
+    for i, text in left.items():
+        for x in (text or "").split("\n"):
+            holds[key(x)].add(i)
+    gone = lambda i, x: len(key(x)) >= 20 and len(holds[key(x)]) >= 3 and i != max(holds[key(x)])
+    left = {i: "\n".join(x for x in (t or "").split("\n") if not gone(i, x)) for i, t in left.items()}
+    left = {i: left[i] for i, (_, c) in brute_components(left).items() if c == i and QUESTION not in left[i]}
+    pieces = p.run(spark, str(tmp_path)).toPandas()
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
+    got = {i: np.frombuffer(b"".join(g.sort_values("start")["ids"]), "<u4").tolist() for i, g in pieces.groupby("doc_id")}
+    assert set(got) == set(left)
+    assert got == {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in left.items()}
+
+
 def test_stages_keep_columns_of_any_name(spark):
     import corpus_pipeline as p
 
