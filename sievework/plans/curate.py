@@ -114,20 +114,53 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("vec_id").alias("id"), F.col("label").alias("group"), F.col("selection_score").alias("score"), "sig", (F.col("n") == 0).alias("zero"))
 
 
-@query()
+def _greedy_sql(score: str) -> tuple[str, str]:
+    """SQL of the records (id, g, score, sig, zero), and of the list of lists that holds a greedy choice's state."""
+    scored = _score_sql().replace("floor(abs(embedding[1]) * 100)", "floor(abs(embedding[1]::DOUBLE) * 100)")
+    total = " + ".join(f"{w} * {r}" for r, w in selection.WEIGHTS.items())
+    ranked = scored[: scored.index("SELECT vec_id, round(")].replace("WITH r AS (SELECT vec_id, ", "r AS (SELECT vec_id, label, ")
+    records = f"{SIGNATURES.replace('WITH v', 'WITH RECURSIVE v')}, {ranked}, x AS (SELECT vec_id AS id, r.label AS g, {total} + CASE WHEN n = 0 THEN 0.08 ELSE 0 END AS score, sig, n = 0 AS zero FROM r JOIN s USING (vec_id))"
+    return records.replace(" AS score, sig", f" AS raw, sig") + f", y AS (SELECT *, {score} AS score FROM x)", "list_filter(c, lambda h: bit_count(xor(h.sig, y.sig)) <= 6)"
+
+
+def _diverse_sql(k: int, per_group: int, most_zero: int) -> str:
+    records, near = _greedy_sql("raw")
+    return f"""{records}, best AS (SELECT arg_max(id, (score, id)) AS id FROM y GROUP BY g),
+    o AS (SELECT *, row_number() OVER (ORDER BY phase, score DESC, g, id) AS place FROM (SELECT y.*, 1 AS phase FROM y SEMI JOIN best USING (id) UNION ALL SELECT y.*, 2 FROM y)),
+    t(place, c) AS (SELECT 0::BIGINT, []::STRUCT(id BIGINT, g INT, score DOUBLE, sig BIGINT, zero BOOLEAN)[]
+      UNION ALL SELECT y.place, CASE WHEN len(c) < {k} AND len(list_filter(c, lambda h: h.id = y.id)) = 0 AND len(list_filter(c, lambda h: h.g = y.g)) < {per_group}
+        AND NOT (y.zero AND len(list_filter(c, lambda h: h.zero)) >= {most_zero}) AND len({near}) = 0
+        THEN list_append(c, struct_pack(id := y.id, g := y.g::INT, score := y.score::DOUBLE, sig := y.sig, zero := y.zero)) ELSE c END FROM t JOIN o y ON y.place = t.place + 1),
+    last AS (SELECT c FROM t ORDER BY place DESC LIMIT 1)
+    SELECT i::INT AS batch_order, c[i].id AS id, c[i].g AS "group", round(c[i].score, 9) AS score FROM last, unnest(range(1, len(c) + 1)) AS u(i)"""
+
+
+def _scenes_sql() -> str:
+    records, near = _greedy_sql("raw - 0.0025 * greatest(0, id % 100 - 40)")
+    return f"""{records}, o AS (SELECT *, row_number() OVER (ORDER BY top DESC, g, score DESC, id) AS place FROM (SELECT *, max(score) OVER (PARTITION BY g) AS top FROM y)),
+    t(place, c) AS (SELECT 0::BIGINT, []::STRUCT(id BIGINT, g INT, score DOUBLE, sig BIGINT)[]
+      UNION ALL SELECT y.place, CASE WHEN len(list_filter(c, lambda h: h.g = y.g)) = 0 AND len({near}) = 0
+        THEN list_append(c, struct_pack(id := y.id, g := y.g::INT, score := y.score::DOUBLE, sig := y.sig)) ELSE c END FROM t JOIN o y ON y.place = t.place + 1),
+    last AS (SELECT c FROM t ORDER BY place DESC LIMIT 1)
+    SELECT i::INT AS batch_order, c[i].id AS id, c[i].g AS "group", round(c[i].score, 9) AS score FROM last, unnest(range(1, len(c) + 1)) AS u(i)"""
+
+
+def _batch(spark: SparkSession, chosen: list) -> DataFrame:
+    return spark.createDataFrame([(i, r["id"], r["group"], round(float(r["score"]), 9)) for i, r in enumerate(chosen, 1)], "batch_order int, id long, group int, score double")
+
+
+@query(_diverse_sql(60, 4, 6))
 def greedy_diverse(spark, sf_dir):
     """Sequential: each choice depends on those before."""
-    chosen = selection.select_diverse(_records(spark, sf_dir), 60, 4, 6, 6)
-    return spark.createDataFrame([(i, r["id"], r["group"], float(r["score"])) for i, r in enumerate(chosen, 1)], "batch_order int, id long, group int, score double")
+    return _batch(spark, selection.select_diverse(_records(spark, sf_dir), 60, 4, 6, 6))
 
 
-@query()
+@query(_scenes_sql())
 def scene_representatives(spark, sf_dir):
     """Sequential: each choice depends on those before."""
     rows = _records(spark, sf_dir)
     adjusted = selection.adjusted_score(F.col("score"), F.col("id") % 100, 40, 0.0025)
-    chosen = selection.scene_representatives(rows.withColumn("score", adjusted), 6)
-    return spark.createDataFrame([(i, r["id"], r["group"], float(r["score"])) for i, r in enumerate(chosen, 1)], "batch_order int, id long, group int, score double")
+    return _batch(spark, selection.scene_representatives(rows.withColumn("score", adjusted), 6))
 
 
 BOXES = "l_orderkey, l_linenumber, l_discount * 10 AS confidence, l_discount AS x1, l_tax AS y1, l_discount + l_quantity / 100 AS x2, l_tax + l_quantity / 200 AS y2"

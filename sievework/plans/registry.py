@@ -31,4 +31,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # the modules below register their queries
-from sievework.plans import audit, curate, gates, review  # noqa: E402, F401
+from sievework.plans import audit, curate, files, gates, review  # noqa: E402, F401

@@ -61,15 +61,25 @@ def with_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return polygons(spark, sf_dir).withColumn("signals", found)
 
 
+def _ladder(i: int) -> str:
+    """SQL of one part of the guidance that a polygon's signals reach."""
+    rungs = {
+        "structure": [review.SELF_INTERSECTION, review.DUPLICATE_VERTEX, review.OUT_OF_BOUNDS],
+        "small": [review.SMALL],
+        "shape": [review.TRIANGULAR, review.MULTISIDED, review.CONCAVE, review.FRAME],
+    }
+    text = lambda rung: "'" + review.GUIDANCE[rung][i].replace("'", "''") + "'"
+    return "CASE " + " ".join(f"WHEN list_has_any(s, {names}) THEN {text(rung)}" for rung, names in rungs.items()) + f" ELSE {text('other')} END"
+
+
 @query(
     f"""{SIGNALS} SELECT printf('image-%04d-instance-%03d', vec_id // 10, vec_id % 10 + 1) AS stable_id, array_to_string(s, '|') AS signals,
-    CASE WHEN list_has_any(s, ['{review.SELF_INTERSECTION}', '{review.DUPLICATE_VERTEX}', '{review.OUT_OF_BOUNDS}', '{review.SMALL}']) THEN 'P1'
-    WHEN list_has_any(s, ['{review.TRIANGULAR}', '{review.MULTISIDED}', '{review.CONCAVE}', '{review.FRAME}']) THEN 'P2' ELSE 'P3' END AS priority FROM q"""
+    {", ".join(f"{_ladder(i)} AS {name}" for i, name in enumerate(["priority", "issue", "decision"]))} FROM q"""
 )
 def review_priority(spark, sf_dir):
     rows = with_signals(spark, sf_dir)
     name = stable_id(F.floor(F.col("vec_id") / 10), F.col("vec_id") % 10 + 1)
-    return rows.select(name.alias("stable_id"), F.array_join("signals", "|").alias("signals"), review.guidance(F.col("signals"))["priority"].alias("priority"))
+    return rows.select(name.alias("stable_id"), F.array_join("signals", "|").alias("signals"), review.guidance(F.col("signals")).alias("g")).select("stable_id", "signals", "g.*")
 
 
 @query(f"{SIGNALS} SELECT u.s AS signal, count(*)::BIGINT AS n FROM q, unnest(q.s) AS u(s) GROUP BY 1")
