@@ -144,19 +144,47 @@ def xml_instances(spark, sf_dir):
     return rows.select("image_id", "name", "instance_index", "label", "occluded", F.col("attributes")["id"].alias("attribute"), F.size("points").alias("n_points"))
 
 
-@query()
+#: DuckDB: the pixels of polygons on a raster of 250 x 250, interior and outline.
+RASTER = f"""{POLY}, v AS (SELECT vec_id, i, round_even(x[i + 1]::FLOAT * 0.25::FLOAT, 0)::DOUBLE AS px, round_even(y[i + 1]::FLOAT * 0.25::FLOAT, 0)::DOUBLE AS py,
+    round_even(x[(i + 1) % n + 1]::FLOAT * 0.25::FLOAT, 0)::DOUBLE AS qx, round_even(y[(i + 1) % n + 1]::FLOAT * 0.25::FLOAT, 0)::DOUBLE AS qy FROM p, unnest(range(n)) AS t(i)),
+cuts AS (SELECT vec_id, r, px + (r - py) * (qx - px) / (qy - py) AS cx FROM v, unnest(range(greatest(0, least(py, qy))::BIGINT, least(250, greatest(py, qy))::BIGINT)) AS t(r) WHERE py <> qy),
+spans AS (SELECT vec_id, r, cx AS lo, lead(cx) OVER w AS hi, row_number() OVER w AS k FROM cuts WINDOW w AS (PARTITION BY vec_id, r ORDER BY cx)),
+inner_ AS (SELECT vec_id, r, c FROM spans, unnest(range(greatest(0, ceil(lo))::BIGINT, least(250, greatest(0, floor(hi) + 1))::BIGINT)) AS t(c) WHERE k % 2 = 1),
+steps AS (SELECT *, greatest(abs(qx - px), abs(qy - py))::BIGINT AS d FROM v),
+edge AS (SELECT vec_id, CASE WHEN k = d THEN qy ELSE round_even(k * ((qy - py) / greatest(1, d)) + py, 0) END::BIGINT AS r, CASE WHEN k = d THEN qx ELSE round_even(k * ((qx - px) / greatest(1, d)) + px, 0) END::BIGINT AS c FROM steps, unnest(range(d + 1)) AS t(k)),
+pixels AS (SELECT vec_id, r, c FROM inner_ UNION SELECT vec_id, r, c FROM edge WHERE r BETWEEN 0 AND 249 AND c BETWEEN 0 AND 249)"""
+
+
+@query(
+    f"""{RASTER}, size AS (SELECT vec_id, count(*) AS n FROM pixels GROUP BY vec_id),
+    shared AS (SELECT a.vec_id AS a, b.vec_id AS b, count(*) AS n FROM pixels a JOIN pixels b ON a.vec_id // 10 = b.vec_id // 10 AND a.r = b.r AND a.c = b.c AND a.vec_id <> b.vec_id GROUP BY ALL),
+    k AS (SELECT a, b, CASE WHEN shared.n / (x.n + y.n - shared.n)::DOUBLE >= 0.6 THEN '{review.DUPLICATE}' WHEN shared.n / least(x.n, y.n)::DOUBLE >= 0.2 THEN '{review.OVERLAP}' END AS kind FROM shared JOIN size x ON x.vec_id = a JOIN size y ON y.vec_id = b)
+    SELECT a // 10 AS image_id, (a % 10 + 1)::INT AS instance_index, string_agg(kind || ':' || (b % 10 + 1), '|' ORDER BY b) AS signals FROM k WHERE kind IS NOT NULL GROUP BY a"""
+)
 def raster_overlap(spark, sf_dir):
     """Pixel masks of an image's polygons."""
     rows = polygons(spark, sf_dir).select(F.floor(F.col("vec_id") / 10).alias("image_id"), (F.col("vec_id") % 10 + 1).cast("int").alias("instance_index"), F.lit(1000).alias("width"), F.lit(1000).alias("height"), "points")
-    return review.overlap_signals(rows, overlap=0.2, duplicate=0.6)
+    return review.overlap_signals(rows, overlap=0.2, duplicate=0.6).withColumn("signals", F.array_join("signals", "|"))
 
 
-@query()
+@query(
+    """WITH g AS (SELECT vec_id, list_transform(embedding, lambda v: floor(least(255, greatest(0, v::DOUBLE * 400 + 128)))) AS g FROM embeddings),
+    a AS (SELECT vec_id, g, g[i + 1] AS v, i // 8 AS y, i % 8 AS x FROM g, unnest(range(64)) AS t(i)),
+    s AS (SELECT vec_id, avg(v) AS mean, stddev_pop(v) AS std, avg((v <= 15)::INT) AS dark, avg((v >= 240)::INT) AS bright,
+      var_pop(g[abs(y - 1) * 8 + x + 1] + g[(7 - abs(6 - y)) * 8 + x + 1] + g[y * 8 + abs(x - 1) + 1] + g[y * 8 + (7 - abs(6 - x)) + 1] - 4 * v) AS blur FROM a GROUP BY vec_id),
+    w AS (SELECT u, i, sum(cos(pi() * u * (2 * (4 * i + k) + 1) / 64)) * sqrt(CASE WHEN u = 0 THEN 1 ELSE 2 END / 32.0::DOUBLE) AS w FROM unnest(range(8)) AS a(u), unnest(range(8)) AS b(i), unnest(range(4)) AS c(k) GROUP BY u, i),
+    d AS (SELECT vec_id, p.u * 8 + q.u - 1 AS bit, sum(v * p.w * q.w) AS d FROM a JOIN w p ON p.i = y JOIN w q ON q.i = x WHERE p.u + q.u > 0 GROUP BY vec_id, p.u, q.u),
+    m AS (SELECT vec_id, median(d) AS m FROM d GROUP BY vec_id),
+    h AS (SELECT vec_id, sum(CASE WHEN d > m THEN 1::BIGINT << bit::INT ELSE 0 END)::BIGINT AS phash FROM d JOIN m USING (vec_id) GROUP BY vec_id)
+    SELECT vec_id::VARCHAR AS filename, 8 AS width, 8 AS height, 1 AS channels, true AS readable, 1.0::DOUBLE AS aspect_ratio, round(mean, 6) AS brightness_mean, round(std, 6) AS contrast_std,
+    round(blur, 6) AS blur_laplacian_variance, round(dark, 6) AS dark_fraction, round(bright, 6) AS bright_fraction, phash FROM s JOIN h USING (vec_id)"""
+)
 def pixel_features(spark, sf_dir):
     """Pixel statistics of 8 x 8 grey images made of embeddings."""
-    byte = F.transform("embedding", lambda v: F.lpad(F.hex(F.floor(F.least(F.lit(255.0), F.greatest(F.lit(0.0), v * 400 + 128)))), 2, "0"))
+    byte = F.transform("embedding", lambda v: F.lpad(F.hex(F.floor(F.least(F.lit(255.0), F.greatest(F.lit(0.0), v.cast("double") * 400 + 128)))), 2, "0"))
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("filename"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("nChannels"), F.unhex(F.array_join(byte, "")).alias("data"))
-    return rows.mapInPandas(features.inspect, features._SCHEMA)
+    out = rows.mapInPandas(features.inspect, features._SCHEMA)
+    return out.select(*((F.round(c, 6).alias(c) if kind == "double" else F.col(c)) for c, kind in out.dtypes))
 
 
 @query(
