@@ -111,6 +111,17 @@ def golden_hue(index: Column) -> Column:
     return F.floor(F.pmod(index * F.lit(0.618033988749895), F.lit(1.0)) * 180).cast("int")
 
 
+def golden_bgr(index: Column) -> Column:
+    """(b, g, r) of an instance's colour: golden-ratio hues at the fixed saturation 0.82 and full value."""
+    sector = F.pmod(index * F.lit(0.61803398875), F.lit(1.0)) * 6
+
+    def channel(offset: int) -> Column:
+        at = F.pmod(sector + offset, F.lit(6.0))
+        return F.floor((1 - 0.82 * F.greatest(F.lit(0.0), F.least(at, 4 - at, F.lit(1.0)))) * 255).cast("int")
+
+    return F.struct(channel(1).alias("b"), channel(3).alias("g"), channel(5).alias("r"))
+
+
 def split_name(split: Column) -> Column:
     """train, validation, test as train, val, test; another name raises."""
     names = {"train": "train", "validation": "val", "test": "test"}  # fixed values

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -122,41 +122,53 @@ def overlap_fraction(boxes: DataFrame, key: str, index: str, threshold: float =
     return boxes.select(key).distinct().join(pairs, key, "left").select(key, F.coalesce("f", F.lit(0.0)).alias("crowding_iou_fraction"))
 
 
+#: Rows of a group that are streamed to the driver; a group that needs more is asked for again.
+DEPTH = 8
+
+
 def _far(sig: int, chosen: list[Row], threshold: int) -> bool:
     return all((sig ^ c["sig"]).bit_count() > threshold for c in chosen)
 
 
-def _ordered(df: DataFrame, *order) -> Iterator[Row]:
-    return df.orderBy(*order).toLocalIterator()
+def _far_from(chosen: list[Row], threshold: int) -> Column:
+    """As _far, for the column sig."""
+    known = F.lit([c["sig"] for c in chosen]) if chosen else F.array().cast("array<long>")
+    return F.forall(known, lambda s: F.bit_count(F.col("sig").bitwiseXOR(s)) > threshold)
 
 
 def select_diverse(records: DataFrame, k: int, per_group: int, most_zero: int, threshold: int) -> list[Row]:
     """Greedy choice of k records (id, group, score, sig, zero), far from each other in Hamming distance.
 
     First each group's best (ties: largest id), by score; then the rest by score (ties: smallest
-    group and id). Sorting is distributed; the driver streams rows and holds the k chosen.
+    group and id). Records without a signature take no part. In rounds: what the choice so far forbids is
+    filtered by Spark, and the best of the rest are offered in blocks of about k; the first of a block is always
+    chosen, so there are at most k rounds, and the driver holds a block.
     """
+    rows = Scratch(records.sparkSession, "diverse").save(records.select("id", "group", "score", "sig", "zero").where("sig IS NOT NULL"), "records")
+    best = rows.groupBy("group").agg(F.max_by(F.struct("id", "score", "sig", "zero"), F.struct("score", "id")).alias("x")).select("x.id", "group", "x.score", "x.sig", "x.zero")
     chosen: list[Row] = []
     groups: Counter = Counter()
-    taken, zeros = set(), 0
-
-    def offer(rows: Iterator[Row]) -> None:
-        nonlocal zeros
-        for r in rows:
-            if len(chosen) >= k:
-                return
-            if r["id"] in taken or groups[r["group"]] >= per_group or (r["zero"] and zeros >= most_zero) or not _far(r["sig"], chosen, threshold):
-                continue
-            chosen.append(r)
-            taken.add(r["id"])
-            groups[r["group"]] += 1
-            zeros += bool(r["zero"])
-
-    best = records.groupBy("group").agg(F.max_by(F.struct("id", "score", "sig", "zero"), F.struct("score", "id")).alias("x")).select("x.id", "group", "x.score", "x.sig", "x.zero")
-    order = (F.desc("score"), "group", "id")
-    offer(_ordered(best, *order))
-    if len(chosen) < k:
-        offer(_ordered(records.select("id", "group", "score", "sig", "zero"), *order))
+    zeros, size = 0, max(64, 2 * k)
+
+    def allowed(r: Row) -> bool:
+        return groups[r["group"]] < per_group and not (r["zero"] and zeros >= most_zero) and _far(r["sig"], chosen, threshold)
+
+    def still_allowed() -> Column:
+        full = F.lit(False)
+        for g, n in groups.items():
+            full = full | F.col("group").eqNullSafe(F.lit(g)) if n >= per_group else full
+        zero = F.coalesce("zero", F.lit(False)) if zeros >= most_zero else F.lit(False)
+        return ~full & ~zero & _far_from(chosen, threshold) & ~F.col("id").isin([c["id"] for c in chosen])
+
+    for offered in (best, rows):
+        block = [None] * size
+        while len(chosen) < k and len(block) == size:
+            block = offered.where(still_allowed()).orderBy(F.desc("score"), "group", "id").limit(size).collect()
+            for r in block:
+                if len(chosen) < k and allowed(r) and all(c["id"] != r["id"] for c in chosen):
+                    chosen.append(r)
+                    groups[r["group"]] += 1
+                    zeros += bool(r["zero"])
     return chosen
 
 
@@ -168,22 +180,23 @@ def adjusted_score(score: Column, count: Column, soft_limit: int, penalty: float
 def scene_representatives(records: DataFrame, threshold: int) -> list[Row]:
     """One record (id, group, score, sig) of every group, none near another's; raises where a group has none left.
 
-    Groups go by their best score (ties: name), records within by score (ties: smallest id).
+    Groups go by their best score (ties: name), records within by score (ties: smallest id); those without a
+    signature take no part. The driver streams DEPTH rows of each group; where all of these are near what is
+    chosen, Spark looks for the best of all the group's rows that is not.
     """
-    best = Window.partitionBy("group")
-    rows = records.select("id", "group", "score", "sig", F.max("score").over(best).alias("top"))
+    rows = Scratch(records.sparkSession, "scenes").save(records.select("id", "group", "score", "sig").where("sig IS NOT NULL"), "records")
+    place = F.row_number().over(Window.partitionBy("group").orderBy(F.desc("score"), "id"))
+    heads = rows.withColumn("place", place).where(F.col("place") <= DEPTH).withColumn("top", F.max("score").over(Window.partitionBy("group")))
     chosen: list[Row] = []
-    group, done = None, True
-    for r in _ordered(rows, F.desc("top"), "group", F.desc("score"), "id"):
-        if r["group"] != group:
-            if not done:
-                raise ValueError(f"no representative left for group {group}")
-            group, done = r["group"], False
-        if not done and _far(r["sig"], chosen, threshold):
-            chosen.append(r)
-            done = True
-    if not done:
-        raise ValueError(f"no representative left for group {group}")
+    for _, block in groupby(heads.orderBy(F.desc("top"), "group", "place").toLocalIterator(), key=lambda r: r["group"]):
+        head = list(block)
+        found = next((r for r in head if _far(r["sig"], chosen, threshold)), None)
+        if not found and len(head) == DEPTH:
+            rest = rows.where(F.col("group").eqNullSafe(F.lit(head[0]["group"])) & _far_from(chosen, threshold))
+            found = next(iter(rest.orderBy(F.desc("score"), "id").limit(1).collect()), None)
+        if not found:
+            raise ValueError(f"no representative left for group {head[0]['group']}")
+        chosen.append(found)
     return chosen
 
 

@@ -213,6 +213,15 @@ def split_assignment(spark, sf_dir):
     return splits.split_groups(table(spark, sf_dir, "documents"), "source", RATIOS, SEED)
 
 
+@query('SELECT source AS "group", 1::BIGINT AS n_splits, count(*)::BIGINT AS n FROM documents GROUP BY source')
+def whole_groups(spark, sf_dir):
+    """What the split must keep: every group whole, in one split."""
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("group"))
+    sides = splits.split_groups(docs, "group", RATIOS, SEED)
+    side = docs.join(sides.select("group", "split").distinct(), "group")
+    return side.groupBy("group").agg(F.count_distinct("split").alias("n_splits"), F.count(F.lit(1)).alias("n"))
+
+
 @query(
     f"""WITH b AS (SELECT doc_id AS name, source AS g, {SPLIT} AS split FROM documents WHERE doc_id % 2 = 0), n AS (SELECT doc_id AS name, source AS g FROM documents WHERE doc_id % 2 = 1)
     SELECT name, g AS "group", split FROM b UNION ALL SELECT name, g, 'train' FROM n"""

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.functions import geometry as g
-from sievework.functions.scalar import drop_consecutive_points, golden_hue, polygon_line, signal_text, stable_id
+from sievework.functions.scalar import drop_consecutive_points, golden_bgr, golden_hue, polygon_line, signal_text, stable_id
 from sievework.functions.scratch import Scratch
-from sievework.operators import features, review
+from sievework.operators import features, render, review
 from sievework.plans.registry import query, table
 from sievework.sources import annotations, sinks
 
@@ -144,6 +144,12 @@ def xml_instances(spark, sf_dir):
     return rows.select("image_id", "name", "instance_index", "label", "occluded", F.col("attributes")["id"].alias("attribute"), F.size("points").alias("n_points"))
 
 
+def small_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-ins for decoded images: 8 x 8 grey ones, made of embeddings."""
+    byte = F.transform("embedding", lambda v: F.lpad(F.hex(F.floor(F.least(F.lit(255.0), F.greatest(F.lit(0.0), v.cast("double") * 400 + 128)))), 2, "0"))
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("filename"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("nChannels"), F.unhex(F.array_join(byte, "")).alias("data"))
+
+
 #: DuckDB: the pixels of polygons on a raster of 250 x 250, interior and outline.
 RASTER = f"""{POLY}, v AS (SELECT vec_id, i, round_even(x[i + 1]::FLOAT * 0.25::FLOAT, 0)::DOUBLE AS px, round_even(y[i + 1]::FLOAT * 0.25::FLOAT, 0)::DOUBLE AS py,
     round_even(x[(i + 1) % n + 1]::FLOAT * 0.25::FLOAT, 0)::DOUBLE AS qx, round_even(y[(i + 1) % n + 1]::FLOAT * 0.25::FLOAT, 0)::DOUBLE AS qy FROM p, unnest(range(n)) AS t(i)),
@@ -181,8 +187,7 @@ def raster_overlap(spark, sf_dir):
 )
 def pixel_features(spark, sf_dir):
     """Pixel statistics of 8 x 8 grey images made of embeddings."""
-    byte = F.transform("embedding", lambda v: F.lpad(F.hex(F.floor(F.least(F.lit(255.0), F.greatest(F.lit(0.0), v.cast("double") * 400 + 128)))), 2, "0"))
-    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("filename"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("nChannels"), F.unhex(F.array_join(byte, "")).alias("data"))
+    rows = small_images(spark, sf_dir)
     out = rows.mapInPandas(features.inspect, features._SCHEMA)
     return out.select(*((F.round(c, 6).alias(c) if kind == "double" else F.col(c)) for c, kind in out.dtypes))
 
@@ -193,3 +198,26 @@ def pixel_features(spark, sf_dir):
 def overlay_legend(spark, sf_dir):
     rows = with_signals(spark, sf_dir)
     return rows.select("vec_id", F.array_join(F.transform("signals", lambda s: signal_text(s, {review.CONCAVE: "concave"})), ", ").alias("words"), golden_hue(F.col("vec_id")).alias("hue"))
+
+
+@query(
+    """WITH h AS (SELECT vec_id, (vec_id * 0.61803398875::DOUBLE) % 1 * 6 AS s FROM embeddings), f AS (SELECT vec_id, floor(s)::INT AS i, s - floor(s) AS f FROM h),
+    v AS (SELECT vec_id, i, 0.18::DOUBLE AS p, 1 - 0.82::DOUBLE * f AS q, 1 - 0.82::DOUBLE * (1 - f) AS t, 1::DOUBLE AS v FROM f)
+    SELECT vec_id, floor([p, p, t, v, v, q][i + 1] * 255)::INT AS b, floor([t, v, v, q, p, p][i + 1] * 255)::INT AS g, floor([v, q, p, p, t, v][i + 1] * 255)::INT AS r FROM v"""
+)
+def instance_colours(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select("vec_id", golden_bgr(F.col("vec_id")).alias("c")).select("vec_id", "c.*")
+
+
+@query("SELECT vec_id::VARCHAR AS filename, 6 AS width, 6 AS height FROM embeddings")
+def overlay_sizes(spark, sf_dir):
+    """Polygons drawn over 8 x 8 stand-ins, at most 6 pixels a side."""
+    points = F.transform("points", lambda p: F.struct((p["x"] / 125).alias("x"), (p["y"] / 125).alias("y")))
+    shapes = polygons(spark, sf_dir).select(F.col("vec_id").cast("string").alias("filename"), F.lit(1).alias("instance_index"), points.alias("points"))
+    return render.overlays(small_images(spark, sf_dir), shapes, 6).select("filename", render.png_size(F.col("content")).alias("s")).select("filename", "s.*")
+
+
+@query("SELECT p AS page, (p - 1) * 12 + 1 AS first, count(*)::BIGINT AS n, 108 AS width, (30 * ceil(count(*) / 3.0))::INT AS height FROM (SELECT (row_number() OVER (ORDER BY vec_id::VARCHAR) - 1) // 12 + 1 AS p FROM embeddings) GROUP BY p")
+def contact_sheets(spark, sf_dir):
+    sheets = render.contact_sheets(small_images(spark, sf_dir), ["filename"], cell=(36, 30), border=1, head=12)
+    return sheets.select("page", "first", "n", render.png_size(F.col("content")).alias("s")).select("page", "first", "n", "s.*")

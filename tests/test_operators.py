@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions import ranks
 from sievework.functions.scratch import Scratch
-from sievework.operators import dedup, features, grouping, review, selection, splits, validation
+from sievework.operators import dedup, features, grouping, render, review, selection, splits, validation
 from sievework.operators.components import connected_components
 from sievework.sources import annotations, files, sinks
 from sievework.streaming.sessions import stream_islands
@@ -260,3 +260,62 @@ def test_files_are_not_overwritten(spark, tmp_path):
     assert "- images: 3" in (tmp_path / "README.md").read_text()
     page = sinks.review_page([{"image": "<a>", "n": 1}], "t")
     assert "localStorage" in page and "JSON.stringify(o)" in page and "&lt;a&gt;" in page
+
+
+def _greedy(records, k, per_group, most_zero, threshold):
+    """The choice, a record at a time over two sorted lists."""
+    far = lambda r, c: all((r[3] ^ o[3]).bit_count() > threshold for o in c)
+    best = {}
+    for r in sorted(records, key=lambda r: (r[2], r[0])):
+        best[r[1]] = r
+    order = lambda r: (-r[2], r[1], r[0])
+    chosen = []
+    for r in sorted(best.values(), key=order) + sorted(records, key=order):
+        if len(chosen) < k and r not in chosen and sum(o[1] == r[1] for o in chosen) < per_group and not (r[4] and sum(o[4] for o in chosen) >= most_zero) and far(r, chosen):
+            chosen.append(r)
+    return [r[0] for r in chosen]
+
+
+def test_greedy_choice_against_brute_force(spark):
+    rng = random.Random(5)
+    for bits, k in ((6, 40), (16, 300)):
+        # many near signatures, so that few qualify and rounds are needed; ties of scores
+        records = [(i, rng.randrange(9), rng.randrange(50) / 50, rng.getrandbits(bits), rng.random() < 0.3) for i in range(700)]
+        df = spark.createDataFrame([*records, (900, 1, 2.0, None, False)], "id long, group int, score double, sig long, zero boolean")
+        assert [r["id"] for r in selection.select_diverse(df, k, 50, 9, 1)] == _greedy(records, k, 50, 9, 1)
+    assert selection.select_diverse(df.where("false"), 3, 1, 1, 1) == []
+
+
+def test_scenes_beyond_their_heads(spark):
+    # group b's best 30 are copies of a's choice
+    records = [(0, "a", 9.0, 7)] + [(i, "b", 8 - i / 100, 7) for i in range(1, 31)] + [(40, "b", 1.0, 7 << 20), (41, "b", 0.5, 7 << 30)]
+    df = spark.createDataFrame(records, "id long, group string, score double, sig long")
+    assert [r["id"] for r in selection.scene_representatives(df, 2)] == [0, 40]
+    with pytest.raises(ValueError, match="group b"):
+        selection.scene_representatives(df.where("id < 40"), 2)
+    assert selection.scene_representatives(df.where("false"), 2) == []
+
+
+def test_pictures(spark, tmp_path):
+    image = np.arange(40 * 60 * 3, dtype=np.uint32).reshape(40, 60, 3).astype(np.uint8)
+    (tmp_path / "a.png").write_bytes(render.png(image))
+    back = spark.read.format("image").load(str(tmp_path)).select("image.*").first()
+    assert (back.height, back.width) == (40, 60) and (render.colours(bytes(back.data), 40, 60, back.nChannels) == image).all()
+
+    grey = np.full((40, 60, 3), 100, np.uint8)
+    square = np.array([[10, 10], [50, 10], [50, 30], [10, 30]], float)
+    drawn = render.overlay(grey, [(1, square, (0, 0, 255))], 60)
+    assert drawn[35, 55].tolist() == [100, 100, 100]
+    assert drawn[25, 35].tolist() == [70, 70, 146]  # 0.7 of the image and 0.3 of the colour
+    assert drawn[30, 40].tolist() == [0, 0, 255]  # outline
+    assert render.overlay(grey, [], 30).shape == (20, 30, 3)
+    render.overlay(grey, [(12, square - 30, (1, 2, 3)), (3, np.zeros((0, 2)), (1, 2, 3))], 60)  # partly outside; without points
+
+    sheet = render.contact_sheet([grey, grey * 2, grey], 7, 2, (36, 50), 1, 14)
+    assert sheet.shape == (100, 72, 3) and sheet[30, 18].tolist() == [100] * 3 and sheet[30, 54].tolist() == [200] * 3 and sheet[80, 54].tolist() == [255] * 3
+    rows = [(f"{i:03}", 4, 4, 1, bytes([i] * 16)) for i in range(14)] + [("bad", -1, -1, -1, b"")]
+    images = spark.createDataFrame(rows, "filename string, height int, width int, nChannels int, data binary")
+    assert [(r.page, r["first"], r.n) for r in render.contact_sheets(images, ["filename"]).orderBy("page").collect()] == [(1, 1, 12), (2, 13, 2)]
+    polygons = spark.createDataFrame([("001", 1, [(0.0, 0.0), (3.0, 0.0), (3.0, 3.0)])], "filename string, instance_index int, points array<struct<x:double,y:double>>")
+    found = {r.filename: r.content for r in render.overlays(images, polygons).collect()}
+    assert len(found) == 14 and found["000"] == render.png(np.zeros((4, 4, 3), np.uint8)) and found["001"] != render.png(np.ones((4, 4, 3), np.uint8))
