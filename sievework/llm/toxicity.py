@@ -36,7 +36,7 @@ STEMS = (3, 4, 5, 6, 7, 8)
 #: Documents whose terms are counted at once, and words whose matches are remembered, in a worker.
 COUNTED, REMEMBERED = 500, 150_000
 #: Words, and stems, shorter than this must be spelled right.
-FUZZY_FROM, FUZZY_STEM_FROM = 5, 6
+FUZZY_FROM, FUZZY_STEM_FROM = 4, 5
 #: Characters before and after a hit that are its context.
 REACH = 60
 #: Quotation marks, words of reporting, address in the second person.
