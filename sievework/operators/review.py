@@ -72,7 +72,8 @@ def image_decision(source_exists: Column, instances: Column) -> Column:
 
 def signal_counts(polygons: DataFrame, signals_col: str, order: str) -> DataFrame:
     """(signal, n) by count; of equal counts, the signal that is seen first (by `order` and place) comes first."""
-    rows = polygons.select(F.col(order).alias("o"), F.posexplode(signals_col).alias("i", "signal"))
+    # the outer form, as Spark puts a filter on the array's size before the plain one, and so evaluates the signals twice
+    rows = polygons.select(F.col(order).alias("o"), F.posexplode_outer(signals_col).alias("i", "signal")).where("signal IS NOT NULL")
     counts = rows.groupBy("signal").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("o", "i")).alias("seen"))
     return counts.orderBy(F.desc("n"), "seen").select("signal", "n")
 
