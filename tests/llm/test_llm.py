@@ -721,6 +721,43 @@ def test_top_k_beyond_floats(spark):
     assert [(g["score"], -g["vec_id"]) for g in sorted(got, key=lambda g: g["rank"])] == expected
 
 
+@pytest.mark.parametrize("copies", [0, 900])
+def test_top_k_cells_do_not_grow(spark, monkeypatch, copies):
+    """No cell that is written holds more than a vector, lanes of many tiles are exact, and equal vectors are ordered by id."""
+    saved, save = [], topk.Scratch.save
+    monkeypatch.setattr(topk.Scratch, "save", lambda self, df, *a, **b: saved.append(out := save(self, df, *a, **b)) or out)
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 32)
+    r = np.random.default_rng(8)
+    m = r.normal(size=(3000, 16)).astype(np.float32)
+    m[r.permutation(3000)[:copies]] = m[0]
+    rows = [(int(i), [float(x) for x in m[n]]) for n, i in enumerate(r.permutation(3000))]
+    got = topk.top_k(frame(spark, rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 100 == 0).collect()
+    ids, v = np.array([i for i, _ in rows]), np.floor(m.astype(float) * 1024).astype(np.int64)
+    expected = []
+    for n in np.flatnonzero(ids % 100 == 0):
+        scores = v @ v[n]
+        order = [j for j in np.lexsort((ids, -scores)) if j != n][:10]
+        expected += [(ids[n], at, ids[j], scores[j]) for at, j in enumerate(order, 1)]
+    assert sorted(map(tuple, got)) == sorted(expected)
+    cells = [df.agg(F.max(F.octet_length(c))).first()[0] for df in saved for c, kind in df.dtypes if kind == "binary"]
+    assert cells and max(cells) <= 16 * 8
+
+
+def test_top_k_heads_of_a_lane_have_one_size():
+    r, k = np.random.default_rng(9), 4
+    m = r.integers(-9, 9, (2000, 8)).astype(np.float32)
+    row = lambda side, n: {"dim": 8, "side": side, "key": n, "id": n, "vector": m[n].tobytes(), "cutoff": None}
+    rows = pd.DataFrame([row(0, n) for n in range(2000)] + [row(1, n) for n in range(0, 2000, 100)])
+    batches = [rows.iloc[at : at + 700] for at in range(0, len(rows), 700)]
+    heads = pd.concat(topk._lists(k, 64)(topk._meetings(iter(batches), 6)))
+    assert list(heads["key"]) == list(range(0, 2000, 100)) and {len(h) for h in heads["heads"]} == {topk.SLICES * k * 16}
+    for key, raw in zip(heads["key"], heads["heads"], strict=True):
+        for n, entries in enumerate(np.frombuffer(raw, topk._ENTRY).reshape(topk.SLICES, k)):
+            part = m[:, 2 * n : 2 * n + 2] @ m[key, 2 * n : 2 * n + 2]
+            assert all(part[e["row"]] == e["partial"] and e["row"] != key for e in entries) and len(set(entries["row"])) == k
+            assert sorted(entries["partial"]) == sorted(np.delete(part, key))[-k:]
+
+
 # columns of any name
 
 INNER = (
