@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -17,22 +19,36 @@ _SCHEMA = (
 )
 
 
+@lru_cache(64)
+def _cover(n: int, m: int) -> np.ndarray:
+    """(m, n): the share that each of n pixels has in each of m new ones."""
+    edge = np.linspace(0, n, m + 1)
+    lo, hi = np.arange(n), np.arange(1, n + 1)
+    return np.clip(np.minimum(edge[1:, None], hi) - np.maximum(edge[:-1, None], lo), 0, None) * (m / n)
+
+
 def shrink(a: np.ndarray, height: int, width: int) -> np.ndarray:
     """Area-averaging resize of a 2-D array: each new pixel is the mean of what it covers."""
+    return _cover(a.shape[0], height) @ a @ _cover(a.shape[1], width).T
 
-    def weights(n: int, m: int) -> np.ndarray:
-        edge = np.linspace(0, n, m + 1)
-        lo, hi = np.arange(n), np.arange(1, n + 1)
-        return np.clip(np.minimum(edge[1:, None], hi) - np.maximum(edge[:-1, None], lo), 0, None) * (m / n)
 
-    return weights(a.shape[0], height) @ a @ weights(a.shape[1], width).T
+@lru_cache(32)
+def _waves(n: int) -> np.ndarray:
+    """(n, 8): the weights of n pixels, stretched to 32, in the lowest DCT coefficients of a side; summed in order."""
+    cos = np.array([[math.cos(math.pi * u * (2 * k + 1) / 64) for u in range(8)] for k in range(32)])
+    return np.cumsum(cos[:, None, :] * _cover(n, 32)[:, :, None], axis=0)[-1] * [math.sqrt((1 if u == 0 else 2) / 32) for u in range(8)]
 
 
 def perceptual_hash(gray: np.ndarray) -> int:
-    """63 bits: which of the lowest DCT coefficients but the first exceed their median."""
-    n, k = 32, np.arange(32)
-    basis = np.cos(np.pi * np.outer(k, 2 * k + 1) / (2 * n)) * np.sqrt(np.where(k == 0, 1, 2) / n)[:, None]
-    values = (basis @ shrink(gray.astype(float), n, n) @ basis.T)[:8, :8].ravel()[1:]
+    """63 bits: which of the lowest DCT coefficients but the first exceed their median.
+
+    Coefficients of equal size are told apart by rounding alone, so pixels are added one after
+    another, by rows: the order in which SQL over a table of pixels adds them.
+    """
+    small = shrink(gray.astype(float), min(32, gray.shape[0]), min(32, gray.shape[1]))
+    down, across = map(_waves, small.shape)
+    terms = (small[:, :, None] * down[:, None, :])[..., None] * across[None, :, None, :]
+    values = np.cumsum(terms.reshape(-1, 64), axis=0)[-1][1:]
     return sum(1 << i for i in np.flatnonzero(values > np.median(values)).tolist())
 
 
