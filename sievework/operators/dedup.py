@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations
 from math import comb
 
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions.scalar import hamming
 from sievework.functions.scratch import Scratch
+from sievework.operators import blocks
 
 #: Bits of a signature: 64 values without the first, which fits a signed long.
 BITS = 63
@@ -18,6 +18,8 @@ BITS = 63
 BROADCAST_ROWS = 100_000
 #: Keys that a row may have in a join by chunks.
 MOST_KEYS = 5000
+#: Pairs that are compared in blocks in the time of one candidate of such a join.
+COMPARED = 100
 
 
 def exact_groups(items: DataFrame, id_col: str, hash_col: str) -> DataFrame:
@@ -75,29 +77,29 @@ def _chunked(left: DataFrame, right: DataFrame, chunks: int, errors: int, keys:
     return cut(left, near, "left").join(cut(right, exact, "right"), [*keys, "no", "value"])
 
 
+def _signatures(items: DataFrame, id_col: str, sig: Column, keys: list[str], different: str | None = None) -> tuple[DataFrame, int]:
+    """Rows (id, sig, keys, content) of items that have a signature, written once, and their number."""
+    rows = items.select(F.col(id_col).alias("id"), sig.alias("sig"), *keys, *([F.col(different).alias("content")] if different else []))
+    # written once: else the optimizer moves the signature's expression into the pairs
+    rows = Scratch(items.sparkSession, "signatures").save(rows.where(F.col("sig").isNotNull()), "rows")
+    return rows, rows.count()
+
+
 def near_pairs(items: DataFrame, id_col: str, sig: Column, threshold: int, keys: list[str] | None = None, different: str | None = None, banded: bool | None = None) -> DataFrame:
     """(left, right, distance) of items with left < right, equal `keys` and signatures that differ in at most `threshold` bits.
 
     Pairs with equal `different` (a content hash) are left out. Chunks with enumerated errors make
     the join exact and an equi-join; they are used where they are the cheaper way for the number of
-    rows (or as `banded` says). Else all pairs of equal keys are compared, in a nested loop if there
-    are no keys: for wide thresholds chance alone makes about as many candidates.
+    rows. Else all pairs of equal keys are compared, in blocks (`blocks.near_pairs`): for wide
+    thresholds chance alone makes about as many candidates. `banded` says which.
     """
     keys = keys or []
-    rows = items.select(F.col(id_col).alias("id"), sig.alias("sig"), *keys, *([F.col(different).alias("content")] if different else []))
-    # written once: else the optimizer moves the signature's expression into the pairs
-    rows = Scratch(items.sparkSession, "signatures").save(rows.where(F.col("sig").isNotNull()), "rows")
-    n = rows.count()
+    rows, n = _signatures(items, id_col, sig, keys, different)
     cost, chunks, errors = chunk_plan(threshold, BITS, n)
-    if banded is None:
-        banded = cost < n / 2
+    if banded is False or banded is None and cost >= n / 2 / COMPARED:
+        return blocks.near_pairs(rows, n, threshold, keys)
     close = hamming(F.col("sig_left"), F.col("sig_right")).cast("int")
-    if banded:
-        pairs = _chunked(rows, rows, chunks, errors, keys, BITS).where(F.col("left") < F.col("right"))
-    else:
-        side = lambda s: rows.select(*(F.col(k).alias(f"{k}_{s}") for k in keys), F.col("id").alias(s), F.col("sig").alias(f"sig_{s}"))
-        same = reduce(lambda a, k: a & (F.col(f"{k}_left") == F.col(f"{k}_right")), keys, F.col("left") < F.col("right"))
-        pairs = side("left").join(side("right"), same & (close <= threshold))
+    pairs = _chunked(rows, rows, chunks, errors, keys, BITS).where(F.col("left") < F.col("right"))
     pairs = pairs.select("left", "right", close.alias("distance")).where(F.col("distance") <= threshold).distinct()
     if different:
         content = items.select(F.col(id_col).alias("id"), F.col(different).alias("content"))
