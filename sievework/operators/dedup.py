@@ -91,12 +91,13 @@ def near_pairs(items: DataFrame, id_col: str, sig: Column, threshold: int, keys:
     Pairs with equal `different` (a content hash) are left out. Chunks with enumerated errors make
     the join exact and an equi-join; they are used where they are the cheaper way for the number of
     rows. Else all pairs of equal keys are compared, in blocks (`blocks.near_pairs`): for wide
-    thresholds chance alone makes about as many candidates. `banded` says which.
+    thresholds chance alone makes about as many candidates. `banded` says which; chunks in which a row
+    would meet more than a tenth of all rows are not used even so.
     """
     keys = keys or []
     rows, n = _signatures(items, id_col, sig, keys, different)
     cost, chunks, errors = chunk_plan(threshold, BITS, n)
-    if banded is False or banded is None and cost >= n / 2 / COMPARED:
+    if banded is False or cost >= (n / 10 if banded else n / 2 / COMPARED):
         return blocks.near_pairs(rows, n, threshold, keys)
     close = hamming(F.col("sig_left"), F.col("sig_right")).cast("int")
     pairs = _chunked(rows, rows, chunks, errors, keys, BITS).where(F.col("left") < F.col("right"))

@@ -195,8 +195,7 @@ def min_hamming_to_accepted(spark, sf_dir):
 )
 def scene_components(spark, sf_dir):
     s = signatures(spark, sf_dir)
-    edges = dedup.near_pairs(s, "vec_id", F.col("sig"), 18).select(F.col("left").alias("a"), F.col("right").alias("b"))
-    return grouping.scene_groups(s, "vec_id", edges)
+    return grouping.scene_groups(s, "vec_id", dedup.near_links(s, "vec_id", F.col("sig"), 18))
 
 
 @query(

@@ -26,3 +26,10 @@ def test_pairs_in_blocks(spark, monkeypatch):
 
 def rows_of_nothing(df):
     return dedup.near_pairs(df.where("id = 'no'"), "id", F.col("sig"), 20).collect()
+
+
+def test_wide_thresholds_are_compared_in_blocks(spark):
+    df = spark.range(3000).select("id", F.xxhash64("id").bitwiseAND((1 << 63) - 1).alias("sig"))
+    for banded in (None, True):
+        plan = dedup.near_pairs(df, "id", F.col("sig"), 16, banded=banded)._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "NestedLoop" not in plan and "Cartesian" not in plan and "HashAggregate" not in plan and "SortMergeJoin" not in plan
