@@ -109,6 +109,14 @@ def near_pairs(items: DataFrame, id_col: str, sig: Column, threshold: int, keys:
     return pairs
 
 
+def near_links(items: DataFrame, id_col: str, sig: Column, threshold: int) -> DataFrame:
+    """(a, b): near pairs, not all of them, that link the same items directly or through others as all near pairs do."""
+    rows, n = _signatures(items, id_col, sig, [])
+    if chunk_plan(threshold, BITS, n)[0] < n / 2 / COMPARED:
+        return near_pairs(rows, "id", F.col("sig"), threshold, banded=True).select(F.col("left").alias("a"), F.col("right").alias("b"))
+    return blocks.near_links(rows, n, threshold)
+
+
 def min_distance(candidates: DataFrame, accepted: DataFrame, id_col: str, sig_col: str) -> DataFrame:
     """(id, min_distance) of each candidate to the accepted items; none without accepted items.
 

@@ -33,3 +33,23 @@ def test_wide_thresholds_are_compared_in_blocks(spark):
     for banded in (None, True):
         plan = dedup.near_pairs(df, "id", F.col("sig"), 16, banded=banded)._jdf.queryExecution().executedPlan().toString()
         assert "MapInArrow" in plan and "NestedLoop" not in plan and "Cartesian" not in plan and "HashAggregate" not in plan and "SortMergeJoin" not in plan
+
+
+def test_links_have_the_components_of_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "MOST_ROWS", 50)
+    rng = random.Random(9)
+    base = [rng.getrandbits(63) for _ in range(12)]
+    sigs = [b ^ sum(1 << p for p in rng.sample(range(63), rng.randrange(12))) for b in base for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(sigs)), "id long, sig long")
+    found = {}
+    for name, edges in ("all", dedup.near_pairs(df, "id", F.col("sig"), 12).select(F.col("left").alias("a"), F.col("right").alias("b"))), ("few", dedup.near_links(df, "id", F.col("sig"), 12)):
+        edges = edges.cache()
+        linked = {i: {i} for i in range(len(sigs))}
+        for a, b in edges.collect():
+            if linked[a] is not linked[b]:
+                linked[a] |= linked[b]
+                for x in linked[b]:
+                    linked[x] = linked[a]
+        found[name] = (edges.count(), {i: min(s) for i, s in linked.items()})
+    assert found["few"][1] == found["all"][1] and len(set(found["few"][1].values())) < 40
+    assert found["few"][0] < 15 * 100 < found["all"][0]
