@@ -4,17 +4,22 @@ from __future__ import annotations
 
 import csv
 import hashlib
+import io
 import json
 import os
+import re
 import shutil
 import uuid
 import zipfile
 from collections.abc import Iterator
+from functools import partial
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
+from sievework.functions.scratch import Scratch
+
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Parquet, the native format; raises where the path exists."""
@@ -26,15 +31,44 @@ def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
     df.select(*columns).write.mode("errorifexists").csv(path, header=True, escape='"')
 
 
+def _csv_lines(rows: Iterator[Row], n: int) -> Iterator[tuple[str]]:
+    """The first n values of each row as a CSV line without its end."""
+    text = io.StringIO()
+    out = csv.writer(text, lineterminator="")
+    for row in rows:
+        out.writerow(["" if v is None else v for v in row[:n]])
+        yield (text.getvalue(),)
+        text.seek(0)
+        text.truncate()
+
+
 def write_csv_file(df: DataFrame, path: str, columns: list[str], order: list[str], overwrite: bool = False) -> int:
-    """One CSV file with byte order mark and header, rows in order, streamed through the driver; the rows written."""
+    """One CSV file with byte order mark and header, rows in order; the rows written.
+
+    Tasks write its parts to the shared folder, and the driver appends these as bytes, a buffer at a time.
+    """
     with open(path, "w" if overwrite else "x", newline="", encoding="utf-8-sig") as f:
-        out = csv.writer(f)
-        out.writerow(columns)
-        n = 0
-        for n, row in enumerate(df.select(*columns, *(c for c in order if c not in columns)).orderBy(*order).toLocalIterator(), 1):
-            out.writerow(["" if row[c] is None else row[c] for c in columns])
-    return n
+        csv.writer(f).writerow(columns)
+    spark, scratch, seen = df.sparkSession, Scratch(df.sparkSession, "csv"), Observation()
+    rows = df.select(*columns, *(c for c in order if c not in columns)).orderBy(*order)
+    lines = spark.createDataFrame(rows.rdd.mapPartitions(partial(_csv_lines, n=len(columns))), "value string", verifySchema=False)
+    lines.observe(seen, F.count(F.lit(1)).alias("n")).write.text(f"{scratch.base}/parts", compression="none", lineSep="\r\n")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(f"{scratch.base}/parts")
+    fs = folder.getFileSystem(conf)
+    parts = [(int(re.match(r"part-(\d+)", p.getPath().getName())[1]), p.getPath()) for p in fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder, "part-*"))]
+    out = jvm.java.io.FileOutputStream(os.path.abspath(path), True)
+    try:
+        for _, part in sorted(parts, key=lambda x: x[0]):
+            source = fs.open(part)
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+            finally:
+                source.close()
+    finally:
+        out.close()
+    scratch.drop("parts")
+    return seen.get["n"]
 
 
 def write_json_document(df: DataFrame, path: str, overwrite: bool = False) -> None:
